@@ -3,10 +3,22 @@
 from __future__ import annotations
 
 from .chat import OP1_SQL, op1_chat_format
+from .langid import op6_language_id
+from .media import op5_media
 from .mixing import OP3_SQL, op3_mixing
+from .quality import op4_quality
 from .sharding import op10_sharding
+from .toxicity import op7_toxicity
 
-QUERIES = {"op1_chat_format": op1_chat_format, "op3_mixing": op3_mixing, "op10_sharding": op10_sharding}
+QUERIES = {
+    "op1_chat_format": op1_chat_format,
+    "op3_mixing": op3_mixing,
+    "op4_quality": op4_quality,
+    "op5_media": op5_media,
+    "op6_language_id": op6_language_id,
+    "op7_toxicity": op7_toxicity,
+    "op10_sharding": op10_sharding,
+}
 
 #: op10 has none: its text_crc32 has no counterpart in SQL; tests hold it against a plain version.
 ORACLE_SQL = {"op1_chat_format": OP1_SQL, "op3_mixing": OP3_SQL}

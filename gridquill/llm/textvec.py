@@ -67,12 +67,12 @@ def utf8(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return data[bounds[0] : bounds[-1]], bounds - bounds[0]
 
 
-def slices(offsets: np.ndarray, most: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
-    """Row ranges whose texts hold about ``most`` bytes; a longer text stands alone."""
+def slices(offsets: np.ndarray, most: int = SLICE_BYTES, rows: int = 1 << 14) -> Iterator[tuple[int, int]]:
+    """Row ranges whose texts hold about ``most`` bytes, ``rows`` rows at most; a longer text stands alone."""
     row, n = 0, len(offsets) - 1
     while row < n:
         end = int(np.searchsorted(offsets, offsets[row] + most, "right")) - 1
-        end = min(max(end, row + 1), n)
+        end = min(max(end, row + 1), row + rows, n)
         yield row, end
         row = end
 
@@ -137,3 +137,11 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int = 5) -> list[
         else:
             out.append(np.zeros(0, U))
     return out
+
+
+def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = SLICE_BYTES, rows: int = 1 << 14):
+    """(batch slice, bytes, offsets) over all batches, in order."""
+    for batch in batches:
+        data, offsets = utf8(batch.column(column))
+        for a, b in slices(offsets, most, rows):
+            yield batch.slice(a, b - a), data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import hash60, held_out, read_table, workers_see_package
-from .textvec import U, mix, text_slices
+from .textvec import U, lower_latin, mix, text_slices
 
 DIM = 4096
 #: Bounds of the fit: sampled rows for each language, languages, and centroids for each language.
@@ -33,7 +33,7 @@ _FOLD = np.array([b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 e
 def trigram_counts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Texts x DIM matrix of trigram counts; runs of spaces count as one, texts start and end with one."""
     n = len(offsets) - 1
-    folded = _FOLD[data]
+    folded = _FOLD[lower_latin(data)]
     # One space before every text keeps trigrams from crossing texts.
     spaced = np.insert(folded, offsets[:-1], 32)
     row = np.repeat(np.arange(n), np.diff(offsets) + 1)

@@ -52,6 +52,15 @@ def powers(n: int) -> np.ndarray:
     return _POWERS
 
 
+def lower_latin(data: np.ndarray) -> np.ndarray:
+    """A copy in which the capitals of ASCII and Latin-1 (bytes C3 80 to C3 9E, but for the times sign) are small."""
+    out = LOWER[data]
+    after = np.flatnonzero(data[:-1] == 0xC3) + 1
+    capital = after[(data[after] >= 0x80) & (data[after] <= 0x9E) & (data[after] != 0x97)]
+    out[capital] += 32
+    return out
+
+
 def utf8(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string or binary column; null counts as empty. Offsets start at 0."""
     if isinstance(column, pa.ChunkedArray):
@@ -83,14 +92,17 @@ class Words:
     ``start`` and ``length`` are byte positions in ``data``.
     """
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, table: np.ndarray = LOWER, drop: np.ndarray | None = None):
-        """table maps bytes before hashing; drop marks bytes that separate words besides white space."""
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, table: np.ndarray = LOWER, drop: np.ndarray | None = None, breaks: np.ndarray | None = None):
+        """table maps bytes before hashing; drop marks bytes that separate words besides white space;
+        breaks marks positions in data at which a new word starts in any case."""
         gap = _SPACE if drop is None else _SPACE | drop
         at = np.flatnonzero(~gap[data])
         fresh = np.ones(len(at), bool)
         if len(at):
             begins = np.zeros(len(data) + 1, bool)
             begins[offsets[:-1]] = True
+            if breaks is not None:
+                begins[: len(data)] |= breaks
             fresh[1:] = (at[1:] != at[:-1] + 1) | begins[at[1:]]
         first_char = np.flatnonzero(fresh)
         self.start = at[first_char]

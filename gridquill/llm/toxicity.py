@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from .common import held_out, read_table, workers_see_package
 from .labelled import class_counts, platt, sampled, sigmoid, training_labels, with_label
-from .textvec import LOWER, U, Words, mix, text_slices
+from .textvec import U, Words, lower_latin, mix, text_slices
 
 CELL_BITS = 20
 #: Bound of the fit: about this many labelled rows of either class.
@@ -28,7 +28,7 @@ _PUNCTUATION = np.array([33 <= b < 127 and not chr(b).isalnum() for b in range(2
 
 def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(text row, cell) of every word, pair and skip pair, repeats included."""
-    words = Words(data, offsets, LOWER, _PUNCTUATION)
+    words = Words(lower_latin(data), offsets, drop=_PUNCTUATION)
     rows, cells = [words.doc], [words.hash]
     for gap, salt in ((1, 0x51ED270B0B0B0B0B), (2, 0x2545F4914F6CDD1D)):
         if len(words.hash) > gap:

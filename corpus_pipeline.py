@@ -3,18 +3,51 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from gridquill.llm import decontam, langid, mixing, neardup, sharding
 from gridquill.llm.common import Scratch, read_table
-from gridquill.llm.sharding import interleave
+
+SHARDS = 40
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is recognised, with the predicted language in lang; rejected ones go."""
+    model = langid.fit(docs)
+    others = tuple(c for c in docs.columns if c != "text")
+    found = langid.identify(docs, model, others, keep_text=True).where(~F.col("rejected"))
+    return found.withColumn("lang", F.col("lang_pred")).select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component of near-duplicates."""
+    return neardup.deduplicate(docs, Scratch(spark, "near")).select(*docs.columns)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without benchmark items."""
+    return decontam.decontaminate(docs, read_table(spark, sf_dir, "benchmark"), Scratch(spark, "decontam")).select(*docs.columns)
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as often as the mix takes it: some not at all, some up to three times."""
+    return mixing.repeat(docs, Scratch(spark, "mix")).select(*docs.columns)
 
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return interleave(docs, 40, Scratch(spark, "shards")).select("doc_id", "size", "text_crc32", "shard", "slot")
+    """Shard and slot of every row of the mix."""
+    return sharding.interleave(docs, SHARDS, Scratch(spark, "shards")).select("doc_id", "size", "text_crc32", "shard", "slot")
 
 
-STAGES = [("shards", shards)]
+STAGES = [
+    ("language", language),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("mixture", mixture),
+    ("shards", shards),
+]
 
-#: Language models and sketches have no counterpart in SQL.
+#: Language vectors and sketches have no counterpart in SQL; a plain Python version is in the tests.
 ORACLE_SQL = None
 
 

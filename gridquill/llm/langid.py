@@ -161,18 +161,19 @@ def fit(rows: DataFrame, sample_per_language: int = SAMPLE_PER_LANGUAGE, centroi
     return LanguageModel(languages, idf, np.concatenate(rows_of).astype(np.float32), np.array(owner), REJECT_SHARE * np.minimum.accumulate(floors[::-1])[::-1])
 
 
-def identify(docs: DataFrame, model: LanguageModel, columns: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def identify(docs: DataFrame, model: LanguageModel, columns: tuple[str, ...] = ("doc_id",), keep_text: bool = False) -> DataFrame:
     """Predicted language of every text.
 
     docs: text and the named columns; others are ignored. A null text, an empty one and one without a letter
     is ``und`` with score 0 and counts as rejected, as does every text if the model knows no language.
     Ties go to the first language by name; equal texts get equal results. No rows: no rows out.
 
-    Returns the named columns, lang_pred, score (0 to 1), cosine, rejected.
+    Returns the named columns, the text if asked for, lang_pred, score (0 to 1), cosine, rejected.
     """
     workers_see_package(docs.sparkSession)
     kept = docs.select(*columns, "text")
     names = np.array([*model.languages, UNKNOWN], object)
+    passed = (*columns, "text") if keep_text else columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, offsets in text_slices(batches, rows=512):
@@ -181,10 +182,10 @@ def identify(docs: DataFrame, model: LanguageModel, columns: tuple[str, ...] = (
             else:
                 n = part.num_rows
                 best, score, cosine, rejected = np.full(n, -1), np.zeros(n), np.zeros(n), np.ones(n, bool)
-            found = [*part.columns[:-1], pa.array(names[best], pa.string()), pa.array(score.astype(float)), pa.array(cosine.astype(float)), pa.array(rejected)]
-            yield pa.RecordBatch.from_arrays(found, [*columns, "lang_pred", "score", "cosine", "rejected"])
+            found = [*part.columns[: len(passed)], pa.array(names[best], pa.string()), pa.array(score.astype(float)), pa.array(cosine.astype(float)), pa.array(rejected)]
+            yield pa.RecordBatch.from_arrays(found, [*passed, "lang_pred", "score", "cosine", "rejected"])
 
-    shape = ", ".join(f"`{c}` {kept.schema[c].dataType.simpleString()}" for c in columns)
+    shape = ", ".join(f"`{c}` {kept.schema[c].dataType.simpleString()}" for c in passed)
     return kept.mapInArrow(run, f"{shape}, lang_pred string, score double, cosine double, rejected boolean")
 
 

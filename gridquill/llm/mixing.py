@@ -35,7 +35,7 @@ def water_fill(sizes: dict[str, int], weights: dict[str, float], budget: float,
     return out
 
 
-def mix(docs: DataFrame, scratch: Scratch, weights=None, budget: float | None = None, most_epochs: int = 3, seed: int = 7) -> DataFrame:
+def mix(docs: DataFrame, scratch: Scratch, **how) -> DataFrame:
     """Which documents a mix takes and how often.
 
     docs: doc_id, source, text; other columns are ignored. weights: source key -> weight, by default
@@ -47,6 +47,14 @@ def mix(docs: DataFrame, scratch: Scratch, weights=None, budget: float | None =
 
     Returns doc_id, source, size, h, source_size, target, copies (times the document is taken).
     """
+    sized, plan = thresholds(docs, scratch, **how)
+    return sized.join(F.broadcast(plan), "skey").select(
+        "doc_id", "source", "size", "h", "source_size", "target", (F.col("epochs") + (F.col("h") <= F.col("upto")).cast("int")).alias("copies")
+    )
+
+
+def thresholds(docs: DataFrame, scratch: Scratch, weights=None, budget: float | None = None, most_epochs: int = 3, seed: int = 7) -> tuple[DataFrame, DataFrame]:
+    """(documents with size, hash and source key; a plan with whole epochs and hash threshold of each source)."""
     spark = docs.sparkSession
     sized = docs.select(
         "doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD_PATTERN)), F.lit(0)).cast("long").alias("size"),
@@ -90,9 +98,21 @@ def mix(docs: DataFrame, scratch: Scratch, weights=None, budget: float | None =
     plan = spark.createDataFrame(
         [(n, sizes[n], float(targets[n]), epochs[n], limits[n]) for n in names], "skey string, source_size long, target double, epochs int, upto long"
     )
-    return sized.join(F.broadcast(plan), "skey").select(
-        "doc_id", "source", "size", "h", "source_size", "target", (F.col("epochs") + (F.col("h") <= F.col("upto")).cast("int")).alias("copies")
-    )
+    return sized, plan
+
+
+def repeat(docs: DataFrame, scratch: Scratch, most_epochs: int = 3, seed: int = 7, **how) -> DataFrame:
+    """docs with every row as often as the mix takes it; columns stay.
+
+    Rows find their copies by source and hash threshold again, without a join by id, so null and repeated
+    ids do no harm.
+    """
+    plan = thresholds(docs, scratch, most_epochs=most_epochs, seed=seed, **how)[1]
+    keyed = docs.withColumn("_h", hash60(F.lit(seed), F.col("doc_id"))).withColumn("_skey", source_key(F.col("source")))
+    named = plan.select(F.col("skey").alias("_skey"), F.col("epochs").alias("_epochs"), F.col("upto").alias("_upto"))
+    taken = keyed.join(F.broadcast(named), "_skey").withColumn("_copies", F.col("_epochs") + (F.col("_h") <= F.col("_upto")).cast("int"))
+    wanted = taken.where("_copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+    return wanted.select(*docs.columns)
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,6 +10,7 @@ from .mixing import OP3_SQL, op3_mixing
 from .neardup import op9_near_duplicates
 from .quality import op4_quality
 from .sharding import op10_sharding
+from .suffix import op8_suffix_dedup
 from .toxicity import op7_toxicity
 
 QUERIES = {
@@ -20,6 +21,7 @@ QUERIES = {
     "op5_media": op5_media,
     "op6_language_id": op6_language_id,
     "op7_toxicity": op7_toxicity,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_sharding": op10_sharding,
 }

@@ -1,18 +1,23 @@
 """Near-duplicate documents by bottom-k sketches of one hash function.
 
-A document's sketch is the k smallest hashes of its word shingles. The union of two sets has its own
-k smallest hashes; a share of about their Jaccard similarity is in both sets, so similar documents
-retain runs of the same neighbouring values. Inverted lists are kept by such runs (RUN retained
-values in a row): two documents in a list are a candidate pair, the sketch of their union estimates
-the similarity and drops clear misses, and the full sets decide.
-
-Documents with equal sets are one node from the start. In a list, members are compared with pivots
-only, and after each round components are found and only members of different components are
-compared further, until every list holds one component or each pair across components has been
-compared. So a group of near copies costs a few pairs for each copy, and no link is lost to a cap.
-
-A linked pair (similarity 0.85) shares no run with probability below 1e-7 at k = 64 and RUN = 4; if
-both sets have k shingles at most (the run then closes to a ring) it always shares one.
+A document's sketch is the K smallest hashes of its word shingles. The union of two sets has its own
+K smallest hashes, and a share of about their Jaccard similarity of those is in both sketches. So
+linked documents share at least need() retained values (at similarity 0.85 and K = 64 fewer than 34
+are shared with probability 3e-10; sets of 54 shingles at most are in the sketch whole, and there the
+bound is exact).
+
+Inverted lists are kept for the rarest retained values of each document only: of two sketches that
+share need() values, the size - need() + 1 rarest ones share one (values in order of the number of
+documents that retain them). A passage that a third of all documents hold is at the far end of that
+order, and values of one document only make no list. Documents that meet in lists, directly or over
+others, are a candidate cluster. A cluster's texts meet once: retained values give overlaps, the
+sketch of the union estimates the similarity and drops clear misses, and the full sets decide. Pairs
+that links already connect aren't compared, and only links that connect something come out, so a
+group gives fewer rows than it has members. A cluster of more than BLOCK documents is compared in
+pairs of blocks; that keeps every task bounded and loses no link, at a cost that grows with the
+square of that cluster.
+
+Documents with equal sets are one node from the start.
 """
 
 from __future__ import annotations
@@ -21,20 +26,24 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import Scratch, read_table, workers_see_package
 from .components import components
-from .textvec import U, constants, mix, shingle_sets, text_slices
+from .textvec import U, shingle_sets, slices, text_slices, utf8
 
-K, RUN, WIDTH, PERCENT = 64, 4, 5, 85
+K, WIDTH, PERCENT = 64, 5, 85
+#: Linked sketches share this many values at least; smaller sets share PERCENT of their own size.
+SHARED, WHOLE = 34, 54
 #: Smaller sets link only with equal sets: a difference of one shingle already is more than 15 in 100.
 LEAST = 6
-#: Pivots of a list in one round after the first.
-PIVOTS = 16
+#: Documents of a cluster that one task compares with each other or with as many others.
+BLOCK = 1024
+#: Text that a task of small clusters gets, on average.
+JOB_BYTES = 4 << 20
 BROADCAST_NODES = 500_000
 
 
@@ -51,72 +60,126 @@ def sketches(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, set_key binary, sketch binary")
 
 
-def inverted_lists(nodes: DataFrame) -> DataFrame:
-    """(key, node, n) for every run of RUN neighbouring values in a node's sketch."""
-    factors = constants(9, RUN)
+def need(n: np.ndarray) -> np.ndarray:
+    """Retained values that a set of n shingles shares with any set that it is linked to."""
+    return np.where(n <= WHOLE, -(-PERCENT * n // 100), SHARED)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            node, n = batch.column("node").to_numpy(), batch.column("n").to_numpy()
-            keys, counts = [], []
-            for sketch, size in zip(batch.column("sketch"), n, strict=True):
-                v = np.frombuffer(sketch.as_buffer(), U)
-                ring = np.concatenate([v, v[: RUN - 1]]) if size <= K else v
-                m = len(ring) - RUN + 1
-                total = np.zeros(m, U)
-                for k, c in enumerate(factors):
-                    total += ring[k : k + m] * c
-                keys.append(np.unique(mix(total)))
-                counts.append(len(keys[-1]))
-            if keys:
-                at = np.repeat(np.arange(len(node)), counts)
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(node[at]), pa.array(n[at].astype(np.int32))], ["key", "node", "n"])
-
-    return nodes.where(F.col("n") >= LEAST).select("node", "n", "sketch").mapInArrow(run, "key long, node long, n int")
-
-
-def _possible(x: str, y: str):
-    """Sets of these sizes can reach the similarity at all."""
-    return (F.col(x) * 100 >= F.col(y) * PERCENT) & (F.col(y) * 100 >= F.col(x) * PERCENT)
-
-
-def estimated(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Pairs whose union sketch doesn't rule the similarity out; exact where the sketches hold the whole sets."""
-    side = lambda c: nodes.select(F.col("node").alias(c), F.col("sketch").alias(f"s{c}"))
-    joined = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b")
+
+def retained(nodes: DataFrame) -> DataFrame:
+    """(value, node) for every retained value."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("sa"), batch.column("sb"), strict=True):
-                x, y = np.frombuffer(x.as_buffer(), U), np.frombuffer(y.as_buffer(), U)
-                whole = len(x) < K and len(y) < K
-                union = np.union1d(x, y)
-                union = union if whole else union[: min(K, len(union))]
-                share = (np.isin(union, x) & np.isin(union, y)).mean()
-                keep.append(share * 100 >= PERCENT - 1e-9 if whole else share + 5 * (0.1275 / len(union)) ** 0.5 >= PERCENT / 100)
-            yield batch.select(["a", "b"]).filter(pa.array(keep))
-
-    return joined.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
-
+            values, _ = utf8(batch.column("sketch"))
+            count = pc.binary_length(batch.column("sketch")).to_numpy(zero_copy_only=False) // 8
+            yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(np.repeat(batch.column("node").to_numpy(), count))], ["value", "node"])
+
+    return nodes.where(F.col("n") >= LEAST).select("node", "sketch").mapInArrow(run, "value long, node long")
+
+
+def clusters(nodes: DataFrame, scratch: Scratch) -> DataFrame:
+    """(node, comp): candidate clusters, for nodes that share a rare retained value with others."""
+    every = scratch.table(retained(nodes), "retained")
+    common = every.groupBy("value").agg(F.count("*").alias("df")).where("df > 1")
+    shared = every.join(common, "value").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("df", "value"))).alias("own"))
+    sizes = nodes.select("node", "n", F.least("n", F.lit(K)).alias("kept"), F.when(F.col("n") <= WHOLE, F.ceil(F.col("n") * PERCENT / 100)).otherwise(F.lit(SHARED)).alias("need"))
+    # Values of this node alone are the rarest: they take their places in the prefix, and make no list.
+    room = F.col("kept") - F.col("need") + 1 - (F.col("kept") - F.size("own"))
+    rare = shared.join(sizes, "node").where(room > 0).select("node", F.explode(F.slice("own", F.lit(1), room.cast("int")))).select("node", F.col("col.value").alias("value"))
+    rare = scratch.table(rare, "rare")
+    scratch.drop(every)
+    scratch.free_shuffles()
+    first = rare.groupBy("value").agg(F.min("node").alias("b"), F.count("*").alias("c")).where("c > 1").select("value", "b")
+    edges = scratch.table(rare.join(first, "value").where("node <> b").select(F.col("node").alias("a"), "b").distinct(), "stars")
+    found = components(edges, scratch)
+    scratch.drop(rare, edges)
+    return found
 
-def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Pairs whose full shingle sets have the similarity."""
-    side = lambda c: texts.select(F.col("node").alias(c), F.col("text").alias(f"t{c}"))
-    joined = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "ta", "tb")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, data, offsets in text_slices(batches, "ta"):
-            left = shingle_sets(data, offsets, WIDTH)
-            keep, at = [], 0
-            for _, data_b, offsets_b in text_slices(iter([part]), "tb"):
-                for s in shingle_sets(data_b, offsets_b, WIDTH):
-                    both = len(np.intersect1d(left[at], s, assume_unique=True))
-                    keep.append(100 * both >= PERCENT * (len(left[at]) + len(s) - both))
-                    at += 1
-            yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+def links_among(ids: np.ndarray, sets: list[np.ndarray], block: np.ndarray) -> list[tuple[int, int]]:
+    """Links that connect the sets, none between sets that others connect already.
 
-    return joined.mapInArrow(run, "a long, b long")
+    Where block has two values, only pairs across them are compared.
+    """
+    m = len(sets)
+    size = np.array([len(s) for s in sets])
+    sketch = [s[:K] for s in sets]
+    kept = np.minimum(size, K)
+    least = need(size)
+    table = np.full((m, K), np.iinfo(np.uint64).max, U)
+    for row, s in enumerate(sketch):
+        table[row, : len(s)] = s
+    flat = np.concatenate(sketch)
+    order = np.argsort(flat, kind="stable")
+    values, holder = flat[order], np.repeat(np.arange(m), kept)[order]
+    full = np.concatenate(sets)
+    full_order = np.argsort(full, kind="stable")
+    full_values, full_holder = full[full_order], np.repeat(np.arange(m), size)[full_order]
+    cross = block.min() != block.max()
+    root = np.arange(m)
+    out = []
+
+    def holders(keys: np.ndarray, of: np.ndarray, who: np.ndarray) -> np.ndarray:
+        low, high = np.searchsorted(of, keys), np.searchsorted(of, keys, "right")
+        count = high - low
+        return who[np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(low, count)]
+
+    for x in range(m):
+        able = (root[:x] != root[x]) & (size[:x] * 100 >= size[x] * PERCENT) & (size[x] * 100 >= size[:x] * PERCENT)
+        if cross:
+            able &= block[:x] != block[x]
+        if not able.any():
+            continue
+        overlap = np.bincount(holders(sketch[x], values, holder), minlength=m)[:x]
+        likely = np.flatnonzero(able & (overlap >= np.maximum(least[:x], least[x])))
+        if not len(likely):
+            continue
+        # Shared values with their rank in the union: the share among the union's K smallest estimates the similarity.
+        rows = table[likely]
+        at = np.minimum(np.searchsorted(sketch[x], rows), kept[x] - 1)
+        both = (sketch[x][at] == rows) & (np.arange(K) < kept[likely][:, None])
+        rank = at + np.arange(K) + 2 - np.cumsum(both, 1)
+        union = np.minimum(K, kept[x] + kept[likely] - both.sum(1))
+        share = (both & (rank <= K)).sum(1) / union
+        whole = (size[x] < K) & (size[likely] < K)
+        likely = likely[np.where(whole, share * 100 >= PERCENT - 1e-9, share + 5 * np.sqrt(0.1275 / union) >= PERCENT / 100)]
+        if not len(likely):
+            continue
+        inter = np.bincount(holders(sets[x], full_values, full_holder), minlength=m)[likely]
+        for y in likely[100 * inter >= PERCENT * (size[x] + size[likely] - inter)]:
+            if root[y] != root[x]:
+                out.append((int(ids[x]), int(ids[y])))
+                root[root == root[x]] = root[y]
+    return out
+
+
+def links(texts: DataFrame, found: DataFrame, scratch: Scratch) -> DataFrame:
+    """(a, b): links that connect the nodes of each cluster. texts: node, text."""
+    sizes = found.groupBy("comp").agg(F.count("*").alias("members"))
+    placed = found.join(sizes, "comp").withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int"))
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    rows = scratch.table(texts.join(placed, "node").select("node", "comp", "blocks", own.alias("own"), "text"), "texts")
+    jobs = max(1, rows.where("blocks = 1").agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0] // JOB_BYTES)
+    small = rows.where("blocks = 1").select("node", "comp", F.lit(0).alias("own"), "text", F.pmod(F.xxhash64("comp"), F.lit(jobs)).alias("job"), F.lit(-1).alias("i"), F.lit(-1).alias("j"))
+    wide = rows.where("blocks > 1").select("node", "comp", "own", "text", F.col("comp").alias("job"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    wide = wide.select("node", "comp", "own", "text", "job", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+
+    def compare(table: pa.Table) -> pa.Table:
+        data, offsets = utf8(table["text"])
+        sets = []
+        for a, b in slices(offsets):
+            sets += shingle_sets(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], WIDTH)
+        node, comp, own = (table[c].to_numpy() for c in ("node", "comp", "own"))
+        order = np.lexsort((node, comp))
+        out = []
+        for group in np.split(order, np.flatnonzero(np.diff(comp[order])) + 1):
+            group = np.array([k for k in group if len(sets[k])], np.int64)
+            if len(group) > 1:
+                out += links_among(node[group], [sets[k] for k in group], own[group])
+        a, b = zip(*out, strict=True) if out else ((), ())
+        return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    return small.unionByName(wide).groupBy("job", "i", "j").applyInArrow(compare, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, scratch: Scratch) -> DataFrame:
@@ -133,45 +196,11 @@ def near_duplicates(docs: DataFrame, scratch: Scratch) -> DataFrame:
     own = scratch.table(sketches(docs), "sketches")
     classes = own.where("n > 0 and doc_id is not null").groupBy("set_key", "n").agg(F.min("doc_id").alias("node"), F.first("sketch").alias("sketch"))
     nodes = scratch.table(classes, "nodes")
-    every = scratch.table(inverted_lists(nodes), "every")
-    shared = every.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
-    lists = scratch.table(every.join(shared, "key").select("key", "node", "n"), "lists")
-    scratch.drop(every)
-    scratch.free_shuffles()
-    named = scratch.table(lists.select("node").distinct(), "named")
-    few = named.limit(BROADCAST_NODES + 1).count() <= BROADCAST_NODES
-    taking = F.broadcast(named) if few else named
-    texts = scratch.table(docs.select(F.col("doc_id").alias("node"), "text").join(taking, "node", "left_semi"), "texts")
-    some = scratch.table(nodes.join(taking, "node", "left_semi").select("node", "sketch"), "some")
-    edges = labels = None
-    first = lists.groupBy("key").agg(F.min(F.struct("node", "n")).alias("p")).select("key", F.col("p.node").alias("b"), F.col("p.n").alias("nb"))
-    pairs = lists.join(first, "key").where((F.col("node") != F.col("b")) & _possible("n", "nb")).select(F.col("node").alias("a"), "b").distinct()
-    spent = first.select("key", F.col("b").alias("node"))
-    tested = None
-    while True:
-        pairs = scratch.table(pairs, "pairs")
-        if not pairs.limit(1).count():
-            break
-        tested = pairs if tested is None else scratch.table(tested.union(pairs), "tested")
-        links = scratch.table(verified(scratch.table(estimated(pairs, some), "likely"), texts), "links")
-        if labels is None or links.limit(1).count():
-            edges = links if edges is None else scratch.table(edges.union(links), "links")
-            labels = components(edges, scratch)
-        # Spent pivots have met all other members of their list.
-        lists = scratch.table(lists.join(spent, ["key", "node"], "left_anti"), "lists")
-        at = lists.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-        spread = at.groupBy("key", "comp").agg(F.count("*").alias("m"))
-        per_key = spread.groupBy("key").agg(F.count("*").alias("comps"), F.max(F.struct("m", "comp"))["comp"].alias("largest"), F.sum("m").alias("members"))
-        open_lists = scratch.table(at.join(per_key.where("comps > 1"), "key").select("key", "node", "n", "comp", "largest", "members"), "open")
-        # Members outside a list's largest component are pivots, PIVOTS of a list in a round; ranks never sort a whole list.
-        outside = open_lists.where("comp <> largest").withColumn("rank", F.row_number().over(W.partitionBy("key").orderBy(F.hash("node"), "node"))).where(F.col("rank") <= PIVOTS)
-        pivots = scratch.table(outside.select("key", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("cb")), "pivots")
-        lists = open_lists.select("key", "node", "n")
-        spent = pivots.select("key", F.col("b").alias("node"))
-        wide = open_lists.join(pivots, "key").where((F.col("comp") != F.col("cb")) & _possible("n", "nb"))
-        pairs = wide.select(F.greatest("node", "b").alias("a"), F.least("node", "b").alias("b")).distinct()
-        pairs = pairs.join(tested.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), ["a", "b"], "left_anti")
-        scratch.free_shuffles()
+    found = clusters(nodes, scratch)
+    few = found.limit(BROADCAST_NODES + 1).count() <= BROADCAST_NODES
+    texts = docs.select(F.col("doc_id").alias("node"), "text").join(F.broadcast(found.select("node")) if few else found.select("node"), "node", "left_semi")
+    joined = scratch.table(links(texts, found, scratch), "links")
+    labels = components(joined, scratch) if joined.limit(1).count() else None
     named_sets = own.select("doc_id", "n", "set_key").join(nodes.select("set_key", "n", "node"), ["set_key", "n"], "left")
     linked = named_sets.join(labels, "node", "left") if labels is not None else named_sets.withColumn("comp", F.lit(None).cast("long"))
     found = linked.withColumn("c", F.when(F.col("doc_id").isNotNull(), F.coalesce("comp", "node", "doc_id")))

@@ -9,17 +9,20 @@ digit is chosen from the content: the smallest hashed ANCHOR-byte gram inside a
 Equal windows have equal anchors, a run of neighbouring windows shares one, and only about one byte
 in sixteen starts one. The passes over a corpus are then:
 
-1. Texts are packed into bundles, written compressed to the scratch folder.
+1. Texts are packed into bundles with the runs of their anchors, written compressed to the scratch
+   folder.
 2. Every bundle sends its distinct anchors, 4 bytes each, to the part of the anchor space they fall
    in; the part answers which of them other bundles have too. Other windows are unique.
-3. Bundles send the distinct contexts (the bytes that an anchor's windows cover, 80 at most) of
-   repeated anchors, with the smallest doc_id that has each. Parts sort contexts, and the windows of
-   anchors with several contexts, digit by digit, and answer with the smallest doc_id by window.
-4. Bundles mark the bytes of windows that a smaller doc_id has.
+3. For repeated anchors, bundles send one 64-bit digest of each distinct context (the bytes that an
+   anchor's windows cover, 80 at most) with the smallest doc_id that has it. Where an anchor has one
+   context everywhere, as inside copies, the smallest doc_id for all its windows is known at once.
+4. Contexts of the other anchors, at the edges of copies, are sent as bytes. Parts sort them and their
+   windows digit by digit, and answer with the smallest doc_id by window.
+5. Bundles mark the bytes of windows that a smaller doc_id has.
 
 An anchor in more than HOT_BUNDLES bundles sends its windows one by one to parts by their content, so
 a passage that a third of all documents share is spread. A bundle sends one entry for each distinct
-context, however many of its documents hold it.
+context, however many of its documents hold it. Shuffles of a step are freed before the next.
 """
 
 from __future__ import annotations
@@ -58,10 +61,11 @@ def _slide(x: np.ndarray, width: int, pick) -> np.ndarray:
 
 
 def _anchor_runs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Runs of windows with one anchor: text row, first and last window start, anchor hash."""
+    """Runs of windows with one anchor: text row, first and last window start, place of the anchor."""
     n = len(data)
+    none = (np.zeros(0, np.int64),) * 4
     if n < WINDOW:
-        return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, U),)
+        return none
     l1 = data.astype(U)
     l2 = l1[:-1] | l1[1:] << U(8)
     l4 = l2[:-2] | l2[2:] << U(16)
@@ -77,7 +81,7 @@ def _anchor_runs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...
     at = np.flatnonzero(is_anchor)
     p = np.flatnonzero(inside)
     if not len(p):
-        return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, U),)
+        return none
     # The leftmost anchor in the window that has the window's smallest hash.
     own = (np.cumsum(is_anchor) - is_anchor)[p]
     wrong = np.flatnonzero(h[at[own]] != low[p])
@@ -88,19 +92,34 @@ def _anchor_runs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...
     fresh[1:] = (own[1:] != own[:-1]) | (row[p[1:]] != row[p[:-1]])
     first = np.flatnonzero(fresh)
     last = np.append(first[1:], len(p)) - 1
-    return row[p[first]], p[first], p[last], low[p[first]]
+    return row[p[first]], p[first], p[last], at[own[first]]
 
 
-def anchor_runs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
-    """As above, slice by slice of whole texts."""
-    found = []
+def packed_runs(data: np.ndarray, offsets: np.ndarray) -> bytes:
+    """Anchor runs of whole texts, slice by slice. Runs follow each other inside a text, so their lengths (a byte
+    each), the place of each anchor after its last window (a byte) and their number by text say all."""
+    count, length, place = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for a, b in slices(offsets, SLICE):
         base = offsets[a]
-        row, first, last, h = _anchor_runs(data[base : offsets[b]], offsets[a : b + 1] - base)
-        found.append((row + a, first + base, last + base, h))
-    if not found:
-        return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, U),)
-    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+        row, first, last, at = _anchor_runs(data[base : offsets[b]], offsets[a : b + 1] - base)
+        count.append(np.bincount(row, minlength=b - a))
+        length.append(last - first + 1)
+        place.append(at - last)
+    raw = [np.concatenate(count).astype(np.int32), np.concatenate(length).astype(np.uint8), np.concatenate(place).astype(np.uint8)]
+    return zstandard.compress(b"".join(x.tobytes() for x in raw), 3)
+
+
+def unpacked_runs(raw: bytes, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+    raw, n = zstandard.decompress(raw), len(offsets) - 1
+    count = np.frombuffer(raw, np.int32, n)
+    m = int(count.sum())
+    length, place = (np.frombuffer(raw, np.uint8, m, 4 * n + k * m).astype(np.int64) for k in (0, 1))
+    row = np.repeat(np.arange(n), count)
+    before = np.cumsum(length) - length
+    starts = np.cumsum(count) - count
+    first = offsets[row] + before - np.repeat(before[np.minimum(starts, max(0, m - 1))] if m else starts, count)
+    last = first + length - 1
+    return row, first, last, last + place
 
 
 def radix_classes(digits: np.ndarray) -> np.ndarray:
@@ -139,14 +158,16 @@ def _digits(data: np.ndarray, start: np.ndarray, length: np.ndarray, width: int)
 class Bundle:
     """The texts of one bundle, their anchors by part, and the contexts of those that are repeated."""
 
-    def __init__(self, ids: bytes, known: bytes, lengths: bytes, text: bytes, parts: int):
+    def __init__(self, ids: bytes, known: bytes, lengths: bytes, text: bytes, runs: bytes, parts: int):
         self.ids, self.known = np.frombuffer(ids, np.int64), np.frombuffer(known, bool)
         self.offsets = np.concatenate([[0], np.cumsum(np.frombuffer(lengths, np.int64))]).astype(np.int64)
         self.data = np.frombuffer(zstandard.decompress(text, max_output_size=max(1, int(self.offsets[-1]))), np.uint8)
-        row, first, last, h = anchor_runs(self.data, self.offsets)
+        row, first, last, at = unpacked_runs(runs, self.offsets)
         kept = self.known[row]
-        self.row, self.first, self.last, h = row[kept], first[kept], last[kept], h[kept]
+        self.row, self.first, self.last, at = row[kept], first[kept], last[kept], at[kept]
         self.parts = parts
+        digits = _digits(self.data, at, np.full(len(at), ANCHOR), ANCHOR)
+        h = mix((digits * constants(52, digits.shape[1])).sum(1, dtype=U))
         key = (h >> U(32)) % U(parts) << U(32) | h & U(0xFFFFFFFF)
         self.keys, self.key = np.unique(key, return_inverse=True)
         self.bounds = np.searchsorted(self.keys, np.arange(parts + 1, dtype=U) << U(32))
@@ -175,39 +196,45 @@ class Bundle:
         self.doc = self.row[np.concatenate([warm, spread])]
         label = self.keys[self.key[np.concatenate([warm, spread])]]
         digits = _digits(self.data, self.at, self.size, CONTEXT)
-        class_of = radix_classes(digits)
-        self.unique, self.entry = np.unique(class_of, return_inverse=True)
+        digest = mix((digits * constants(51, digits.shape[1])).sum(1, dtype=U))
+        self.digest, self.unique, self.entry = np.unique(digest, return_index=True, return_inverse=True)
         self.smallest = np.full(len(self.unique), np.iinfo(np.int64).max)
         np.minimum.at(self.smallest, self.entry, self.ids[self.doc])
         # Hot windows are dealt by their content, contexts by their anchor.
-        content = np.zeros(len(self.unique), U)
-        for k, c in enumerate(constants(51, digits.shape[1])):
-            content += digits[self.unique, k] * c
         burnt = self.unique >= len(warm)
-        self.part = np.where(burnt, mix(content) % U(self.parts), label[self.unique] >> U(32)).astype(np.int64)
-        self.label = np.where(burnt, mix(content) & U(0xFFFFFFFF), label[self.unique] & U(0xFFFFFFFF)).astype(np.uint32)
+        content = mix(self.digest + U(1))
+        self.part = np.where(burnt, content % U(self.parts), label[self.unique] >> U(32)).astype(np.int64)
+        self.label = np.where(burnt, content >> U(32), label[self.unique] & U(0xFFFFFFFF)).astype(np.uint32)
         self.order = np.argsort(self.part, kind="stable")
         self.part_bounds = np.searchsorted(self.part[self.order], np.arange(self.parts + 1))
 
-    def entries(self) -> Iterator[tuple[int, bytes]]:
-        """(part, packed contexts): count, sizes, labels, smallest ids, bytes."""
+    def digests(self) -> Iterator[tuple[int, bytes]]:
+        """(part, packed digests of its contexts): count, labels, digests, smallest ids."""
         for part in np.flatnonzero(np.diff(self.part_bounds)):
             own = self.order[self.part_bounds[part] : self.part_bounds[part + 1]]
+            yield int(part), _pack(self.label[own], self.digest[own], self.smallest[own])
+
+    def asked(self, answers: dict[int, bytes]) -> Iterator[tuple[int, bytes]]:
+        """(part, packed contexts that it asks for): count, places in the part's list, sizes, labels, smallest ids, bytes."""
+        for part, raw in answers.items():
+            _, mixed = _opened(raw)
+            if not len(mixed):
+                continue
+            own = self.order[self.part_bounds[part] + mixed.astype(np.int64)]
             start, size = self.at[self.unique[own]], self.size[self.unique[own]]
             flat = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(start, size)
-            raw = b"".join([np.int64(len(own)).tobytes(), size.astype(np.uint8).tobytes(), self.label[own].tobytes(), self.smallest[own].tobytes(), self.data[flat].tobytes()])
-            yield int(part), zstandard.compress(raw, 3)
+            yield int(part), _pack(mixed, size.astype(np.uint8), self.label[own], self.smallest[own], self.data[flat], head=len(own))
 
-    def marks(self, answers: dict[int, bytes]) -> np.ndarray:
-        """True for every byte that a window with a smaller doc_id covers."""
+    def marks(self, answers: list[tuple[int, bytes]]) -> np.ndarray:
+        """True for every byte that a window with a smaller doc_id covers. answers: (part, runs)."""
         n = len(self.data)
         edge = np.zeros(n + 1, np.int64)
         ids = self.ids[self.doc]
         whole = self.smallest[self.entry] < ids
         edge += np.bincount(self.at[whole], minlength=n + 1) - np.bincount(self.at[whole] + self.size[whole], minlength=n + 1)
         entries, runs = [np.zeros(0, np.int64)], [np.zeros(0, _RUN)]
-        for part, raw in answers.items():
-            found = np.frombuffer(zstandard.decompress(raw), _RUN)
+        for part, raw in answers:
+            found, _ = _opened(raw)
             entries.append(self.order[self.part_bounds[part] + found["entry"].astype(np.int64)])
             runs.append(found)
         entry, run = np.concatenate(entries), np.concatenate(runs)
@@ -222,16 +249,43 @@ class Bundle:
         hit = run["smallest"][which] < ids[occurrence]
         occurrence, which = occurrence[hit], which[hit]
         start = self.at[occurrence] + run["first"][which]
-        edge += np.bincount(start, minlength=n + 1) - np.bincount(self.at[occurrence] + run["last"][which] + WINDOW, minlength=n + 1)
+        end = self.at[occurrence] + np.minimum(run["last"][which].astype(np.int64) + WINDOW, self.size[occurrence])
+        edge += np.bincount(start, minlength=n + 1) - np.bincount(end, minlength=n + 1)
         return np.cumsum(edge[:-1]) > 0
 
 
+def _pack(*arrays: np.ndarray, head: int | None = None) -> bytes:
+    return zstandard.compress(b"".join([np.int64(len(arrays[0]) if head is None else head).tobytes(), *(a.tobytes() for a in arrays)]), 3)
+
+
+def _unpack(blob: bytes, *kinds) -> list[np.ndarray]:
+    """Arrays of the packed length and kinds, and what is left as bytes."""
+    raw = zstandard.decompress(blob)
+    m, at, out = int(np.frombuffer(raw, np.int64, 1)[0]), 8, []
+    for kind in map(np.dtype, kinds):
+        out.append(np.frombuffer(raw, kind, m, at))
+        at += m * kind.itemsize
+    return [*out, np.frombuffer(raw, np.uint8, -1, at)]
+
+
+def _answer(runs: np.ndarray, mixed: np.ndarray) -> bytes:
+    return zstandard.compress(np.int64(len(runs)).tobytes() + runs.tobytes() + mixed.astype(np.uint32).tobytes(), 3)
+
+
+def _opened(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(runs, places of contexts that are asked for)."""
+    raw = zstandard.decompress(raw)
+    n = int(np.frombuffer(raw, np.int64, 1)[0])
+    return np.frombuffer(raw, _RUN, n, 8), np.frombuffer(raw, np.uint32, -1, 8 + n * _RUN.itemsize)
+
+
 #: An answer: windows first to last of a context are in a document with this smaller id.
 _RUN = np.dtype([("entry", np.uint32), ("first", np.uint8), ("last", np.uint8), ("smallest", np.int64)])
 
 
-def settle_anchors(blobs: list[np.ndarray]) -> list[bytes]:
+def settle_anchors(blobs: list[bytes]) -> list[bytes]:
     """For each bundle's sorted anchors two bits: other bundles have it; more than HOT_BUNDLES do."""
+    blobs = [np.frombuffer(b, np.uint32) for b in blobs]
     sizes = np.array([len(b) for b in blobs])
     every = np.concatenate(blobs)
     order = np.argsort(every, kind="stable")
@@ -244,64 +298,73 @@ def settle_anchors(blobs: list[np.ndarray]) -> list[bytes]:
     return [np.packbits(np.concatenate([count[a:b] > 1, count[a:b] > HOT_BUNDLES])).tobytes() for a, b in zip(ends - sizes, ends, strict=True)]
 
 
+def settle_digests(blobs: list[bytes]) -> list[bytes | None]:
+    """For each bundle's digests: runs for contexts of anchors with one context, and which contexts to send as bytes."""
+    parts = [_unpack(b, np.uint32, U, np.int64) for b in blobs]
+    counts = np.array([len(p[0]) for p in parts])
+    label, digest, smallest = (np.concatenate([p[k] for p in parts]) for k in range(3))
+    order = np.lexsort((digest, label))
+    fresh_label, fresh = np.ones(len(order), bool), np.ones(len(order), bool)
+    fresh_label[1:] = label[order][1:] != label[order][:-1]
+    fresh[1:] = fresh_label[1:] | (digest[order][1:] != digest[order][:-1])
+    group, context = np.cumsum(fresh_label) - 1, np.cumsum(fresh) - 1
+    distinct = np.bincount(group[fresh])
+    least = np.minimum.reduceat(smallest[order], np.flatnonzero(fresh))
+    mixed, low = np.empty(len(order), bool), np.empty(len(order), np.int64)
+    mixed[order], low[order] = distinct[group] > 1, least[context]
+    news = ~mixed & (low < smallest)
+    out = []
+    ends = np.cumsum(counts)
+    for a, b in zip(ends - counts, ends, strict=True):
+        told = np.flatnonzero(news[a:b])
+        runs = np.empty(len(told), _RUN)
+        runs["entry"], runs["first"], runs["last"], runs["smallest"] = told, 0, 255, low[a:b][told]
+        asked = np.flatnonzero(mixed[a:b])
+        out.append(_answer(runs, asked) if len(told) or len(asked) else None)
+    return out
+
+
 def settle_contexts(blobs: list[bytes]) -> list[bytes | None]:
     """For each bundle's contexts the runs of windows for which another bundle or context has a smaller doc_id."""
-    size, label, smallest, raw, counts = [], [], [], [], []
-    for blob in map(zstandard.decompress, blobs):
-        m = int(np.frombuffer(blob, np.int64, 1)[0])
-        at = 8
-        for into, kind in ((size, np.uint8), (label, np.uint32), (smallest, np.int64)):
-            into.append(np.frombuffer(blob, kind, m, at))
-            at += m * np.dtype(kind).itemsize
-        raw.append(np.frombuffer(blob, np.uint8, -1, at))
-        counts.append(m)
-    size, label, smallest, data = np.concatenate(size).astype(np.int64), np.concatenate(label), np.concatenate(smallest), np.concatenate(raw)
+    parts = [_unpack(b, np.uint32, np.uint8, np.uint32, np.int64) for b in blobs]
+    counts = np.array([len(p[0]) for p in parts])
+    place, size, label, smallest, data = (np.concatenate([p[k] for p in parts]) for k in range(5))
+    size = size.astype(np.int64)
     start = np.cumsum(size) - size
     class_of = radix_classes(_digits(data, start, size, CONTEXT))
     least = np.full(len(size), np.iinfo(np.int64).max)
     np.minimum.at(least, class_of, smallest)
-    # Windows need their own sort only where an anchor has several distinct contexts.
     reps = np.unique(class_of)
-    _, by, n = np.unique(label[reps], return_inverse=True, return_counts=True)
-    mixed = reps[n[by] > 1]
-    runs_of = [(r := np.setdiff1d(reps, mixed, assume_unique=True)), np.zeros(len(r), np.int64), size[r] - WINDOW, least[r]]
-    if len(mixed):
-        windows = size[mixed] - WINDOW + 1
-        rep = np.repeat(mixed, windows)
-        offset = np.arange(len(rep)) - np.repeat(np.cumsum(windows) - windows, windows)
-        same = radix_classes(_digits(data, start[rep] + offset, np.full(len(rep), WINDOW), WINDOW))
-        low = np.full(len(rep), np.iinfo(np.int64).max)
-        np.minimum.at(low, same, least[rep])
-        low = low[same]
-        fresh = np.ones(len(rep), bool)
-        fresh[1:] = (rep[1:] != rep[:-1]) | (low[1:] != low[:-1])
-        first = np.flatnonzero(fresh)
-        last = np.append(first[1:], len(rep)) - 1
-        runs_of = [np.concatenate(x) for x in zip(runs_of, (rep[first], offset[first], offset[last], low[first]), strict=True)]
-        order = np.argsort(runs_of[0], kind="stable")
-        runs_of = [x[order] for x in runs_of]
-    left, right = np.searchsorted(runs_of[0], class_of), np.searchsorted(runs_of[0], class_of, "right")
+    windows = size[reps] - WINDOW + 1
+    rep = np.repeat(reps, windows)
+    offset = np.arange(len(rep)) - np.repeat(np.cumsum(windows) - windows, windows)
+    same = radix_classes(_digits(data, start[rep] + offset, np.full(len(rep), WINDOW), WINDOW))
+    low = np.full(len(rep), np.iinfo(np.int64).max)
+    np.minimum.at(low, same, least[rep])
+    low = low[same]
+    fresh = np.ones(len(rep), bool)
+    fresh[1:] = (rep[1:] != rep[:-1]) | (low[1:] != low[:-1])
+    first = np.flatnonzero(fresh)
+    last = np.append(first[1:], len(rep)) - 1
+    run_rep, run_first, run_last, run_low = rep[first], offset[first], offset[last], low[first]
+    left, right = np.searchsorted(run_rep, class_of), np.searchsorted(run_rep, class_of, "right")
     count = right - left
     entry = np.repeat(np.arange(len(size)), count)
     which = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(left, count)
-    news = runs_of[3][which] < smallest[entry]
+    news = run_low[which] < smallest[entry]
     entry, which = entry[news], which[news]
     ends = np.cumsum(counts)
     out = []
     for a, b in zip(ends - counts, ends, strict=True):
         lo, hi = np.searchsorted(entry, [a, b])
-        if lo == hi:
-            out.append(None)
-            continue
-        found = np.empty(hi - lo, _RUN)
-        found["entry"], w = entry[lo:hi] - a, which[lo:hi]
-        found["first"], found["last"], found["smallest"] = runs_of[1][w], runs_of[2][w], runs_of[3][w]
-        out.append(zstandard.compress(found.tobytes(), 3))
+        runs, w = np.empty(hi - lo, _RUN), which[lo:hi]
+        runs["entry"], runs["first"], runs["last"], runs["smallest"] = place[entry[lo:hi]], run_first[w], run_last[w], run_low[w]
+        out.append(_answer(runs, np.zeros(0, np.uint32)) if hi > lo else None)
     return out
 
 
 def bundles(docs: DataFrame) -> DataFrame:
-    """bundle, raw_bytes, ids, known, lengths, text: texts packed BUNDLE_BYTES at a time. A longer text is alone in one."""
+    """bundle, raw_bytes, ids, known, lengths, text, runs: texts packed BUNDLE_BYTES at a time. A longer text is alone in one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
@@ -311,15 +374,19 @@ def bundles(docs: DataFrame) -> DataFrame:
             for a, b in slices(offsets, BUNDLE_BYTES):
                 own = ids.slice(a, b - a)
                 known = own.is_valid().to_numpy(zero_copy_only=False)
-                text = zstandard.compress(data[offsets[a] : offsets[b]].tobytes(), 3)
-                row = [[number], [int(offsets[b] - offsets[a])], [own.fill_null(0).to_numpy().tobytes()], [known.tobytes()], [np.diff(offsets[a : b + 1]).tobytes()], [text]]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(row, [pa.int64(), pa.int64(), *[pa.binary()] * 4], strict=True)], ["bundle", "raw_bytes", "ids", "known", "lengths", "text"])
+                plain = data[offsets[a] : offsets[b]]
+                row = [
+                    [number], [len(plain)], [own.fill_null(0).to_numpy().tobytes()], [known.tobytes()], [np.diff(offsets[a : b + 1]).tobytes()],
+                    [zstandard.compress(plain.tobytes(), 3)], [packed_runs(plain, offsets[a : b + 1] - offsets[a])],
+                ]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(row, [pa.int64(), pa.int64(), *[pa.binary()] * 5], strict=True)], ["bundle", "raw_bytes", "ids", "known", "lengths", "text", "runs"])
                 number += 1
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "bundle long, raw_bytes long, ids binary, known binary, lengths binary, text binary")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "bundle long, raw_bytes long, ids binary, known binary, lengths binary, text binary, runs binary")
 
 
 _ROW = pa.schema([("kind", pa.int32()), ("part", pa.int32()), ("bundle", pa.int64()), ("blob", pa.binary())])
+ANCHORS, DIGESTS, CONTEXTS = 1, 2, 3
 _ROW_DDL = "kind int, part int, bundle long, blob binary"
 RESULT = "doc_id long, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept binary"
 
@@ -342,7 +409,7 @@ def remove_repeats(docs: DataFrame, scratch: Scratch) -> DataFrame:
         return pa.table(list(map(pa.array, zip(*found, strict=True), _ROW.types)) if found else [pa.array([], t) for t in _ROW.types], _ROW.names).cast(_ROW)
 
     def opened(row: dict) -> Bundle:
-        return Bundle(row["ids"], row["known"], row["lengths"], row["text"], parts)
+        return Bundle(row["ids"], row["known"], row["lengths"], row["text"], row["runs"], parts)
 
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -350,31 +417,44 @@ def remove_repeats(docs: DataFrame, scratch: Scratch) -> DataFrame:
                 row = batch.slice(k, 1).to_pylist()[0]
                 yield from rows_of([(0, p, row["bundle"], blob) for p, blob in opened(row).anchors()]).to_batches()
 
-    def answer_anchors(table: pa.Table) -> pa.Table:
-        found = settle_anchors([np.frombuffer(b.as_buffer(), np.uint32) for b in table["blob"]])
-        return rows_of([(1, p, b, f) for p, b, f in zip(table["part"].to_pylist(), table["bundle"].to_pylist(), found, strict=True)])
+    def answered(settle, kind: int):
+        def answer(table: pa.Table) -> pa.Table:
+            found = settle(table["blob"].to_pylist())
+            return rows_of([(kind, p, b, f) for p, b, f in zip(table["part"].to_pylist(), table["bundle"].to_pylist(), found, strict=True) if f is not None])
 
-    def contexts(left: pa.Table, right: pa.Table) -> pa.Table:
-        out = []
+        return answer
+
+    def by_kind(table: pa.Table) -> dict[int, list[tuple[int, bytes]]]:
+        out: dict[int, list] = {ANCHORS: [], DIGESTS: [], CONTEXTS: []}
+        for kind, part, blob in zip(*(table[c].to_pylist() for c in ("kind", "part", "blob")), strict=True):
+            out[kind].append((part, blob))
+        return out
+
+    def digests(left: pa.Table, right: pa.Table) -> pa.Table:
+        out, known = [], by_kind(right)
         for row in left.to_pylist():
             own = opened(row)
-            own.contexts(dict(zip(right["part"].to_pylist(), right["blob"].to_pylist(), strict=True)))
-            out += [(2, p, row["bundle"], blob) for p, blob in own.entries()]
+            own.contexts(dict(known[ANCHORS]))
+            out += [(0, p, row["bundle"], blob) for p, blob in own.digests()]
         return rows_of(out)
 
-    def answer_contexts(table: pa.Table) -> pa.Table:
-        found = settle_contexts(table["blob"].to_pylist())
-        return rows_of([(3, p, b, f) for p, b, f in zip(table["part"].to_pylist(), table["bundle"].to_pylist(), found, strict=True) if f is not None])
+    def contexts(left: pa.Table, right: pa.Table) -> pa.Table:
+        out, known = [], by_kind(right)
+        for row in left.to_pylist():
+            own = opened(row)
+            own.contexts(dict(known[ANCHORS]))
+            out += [(0, p, row["bundle"], blob) for p, blob in own.asked(dict(known[DIGESTS]))]
+        return rows_of(out)
 
     result = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("kept", pa.binary())])
 
     def removal(left: pa.Table, right: pa.Table) -> pa.Table:
         tables = []
-        answers = list(zip(right["kind"].to_pylist(), right["part"].to_pylist(), right["blob"].to_pylist(), strict=True))
+        known = by_kind(right)
         for row in left.to_pylist():
             own = opened(row)
-            own.contexts({p: b for kind, p, b in answers if kind == 1})
-            gone = own.marks({p: b for kind, p, b in answers if kind == 3})
+            own.contexts(dict(known[ANCHORS]))
+            gone = own.marks(known[DIGESTS] + known[CONTEXTS])
             n = len(own.ids)
             begins = np.zeros(len(gone) + 1, bool)
             begins[own.offsets] = True
@@ -390,13 +470,18 @@ def remove_repeats(docs: DataFrame, scratch: Scratch) -> DataFrame:
             tables.append(pa.table([pa.array(own.ids, mask=~own.known), pa.array(np.diff(own.offsets)), pa.array(np.diff(total_gone[own.offsets])), spans, bytes_kept], result.names).cast(result))
         return pa.concat_tables(tables) if tables else result.empty_table()
 
-    sent = packed.mapInArrow(anchors, _ROW_DDL)
-    first = scratch.table(sent.groupBy("part").applyInArrow(answer_anchors, _ROW_DDL), "anchors")
-    scratch.free_shuffles()
-    wanted = packed.groupBy("bundle").cogroup(first.groupBy("bundle")).applyInArrow(contexts, _ROW_DDL)
-    second = scratch.table(wanted.groupBy("part").applyInArrow(answer_contexts, _ROW_DDL), "contexts")
-    scratch.free_shuffles()
-    return packed.groupBy("bundle").cogroup(first.union(second).groupBy("bundle")).applyInArrow(removal, RESULT)
+    # No step's DataFrame is kept in a name: its shuffle files can go once its answers are written.
+    def settled(sent: DataFrame, settle, kind: int) -> DataFrame:
+        return scratch.table(sent.groupBy("part").applyInArrow(answered(settle, kind), _ROW_DDL), f"answers{kind}")
+
+    def told(send, answers: DataFrame, ddl: str) -> DataFrame:
+        scratch.free_shuffles()
+        return packed.groupBy("bundle").cogroup(answers.groupBy("bundle")).applyInArrow(send, ddl)
+
+    first = settled(packed.mapInArrow(anchors, _ROW_DDL), settle_anchors, ANCHORS)
+    second = settled(told(digests, first, _ROW_DDL), settle_digests, DIGESTS)
+    third = settled(told(contexts, first.union(second), _ROW_DDL), settle_contexts, CONTEXTS)
+    return told(removal, first.union(second).union(third), RESULT)
 
 
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

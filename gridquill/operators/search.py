@@ -91,5 +91,6 @@ def search(index: Index, queries: DataFrame, k: int, query_id: str = "id", query
 
 
 def _top(scored: DataFrame, k: int) -> DataFrame:
-    rank = F.row_number().over(W.partitionBy("qid").orderBy(F.desc("score"), "id"))
+    # Sums of doubles depend on their order in the last digits: scores that agree in nine decimals are a tie.
+    rank = F.row_number().over(W.partitionBy("qid").orderBy(F.round("score", 9).desc(), "id"))
     return scored.withColumn("rank", rank).where(F.col("rank") <= k).withColumn("rank", (F.col("rank") - 1).cast("int")).select("qid", "id", "score", "rank")

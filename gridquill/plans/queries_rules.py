@@ -141,8 +141,8 @@ def prompts(spark, sf_dir):
 def predictions_and_assembly(spark, sf_dir):
     """From results over stub predictions to submission rows, answers run again on the tables."""
     config = load_config()
-    results = _results(spark, sf_dir)
-    made = generation.predict(results, config, isolated=False)
+    results = _results(spark, sf_dir).cache()
+    made = generation.predict(results, config, isolated=False).cache()
     questions = results.select("id", "question").unionByName(spark.createDataFrame([(99, "thiếu")], "id int, question string"))
     items, _, _ = assembly.assemble(questions, results, made, None, config, isolated=False)
     return items.select("id", "answer", F.array_join("relevant_docs", ",").alias("docs"), F.size("relevant_tables").alias("tables"), F.array_join(F.transform("evidence", lambda e: e["csv_path"]), ",").alias("evidence"), (F.col("pandas_query") == "").alias("empty"))

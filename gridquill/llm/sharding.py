@@ -1,8 +1,9 @@
 """Proportional stratified interleaving, in DataFrame functions only.
 
 Rows of a source get a rank in the order of a seeded hash. All rows are then put in the order of
-their fractional rank (rank + 1/2) / rows of the source, and that order is cut into equal shards:
-any stretch of it holds each source in proportion. Both orders are found in two steps, so that no
+their fractional rank (rank + phase) / rows of the source, and that order is cut into equal shards:
+any stretch of it holds each source in proportion. The phase, between 0 and 1 and fixed for a source,
+keeps sources of one size from coming in clumps. Both orders are found in two steps, so that no
 window holds a whole source: a bucket of the order from arithmetic, and a rank inside the bucket.
 """
 
@@ -16,6 +17,8 @@ from .common import Scratch, hash60, read_table, source_key
 
 #: Rows that one window sorts, on average.
 BUCKET_ROWS = 2_048
+#: Phases are multiples of 1 / STEPS. Products of rows, buckets and steps stay below 2**63 up to some 1e10 rows.
+STEPS = 16
 
 
 def interleave(docs: DataFrame, shards: int, scratch: Scratch, seed: int = 11, bucket_rows: int = BUCKET_ROWS, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -44,16 +47,18 @@ def interleave(docs: DataFrame, shards: int, scratch: Scratch, seed: int = 11, b
         fine.join(per, "skey").groupBy("skey", bucket.alias("bucket")).agg(F.sum("count").alias("rows"), F.first("n").alias("n"))
         .withColumn("before", F.sum("rows").over(W.partitionBy("skey").orderBy("bucket")) - F.col("rows"))
     )
-    sources = per.select("skey", "n", "buckets")
+    phase = F.pmod(F.crc32(F.col("skey").cast("binary")), F.lit(STEPS - 1)) + 1
+    sources = per.select("skey", "n", "buckets", phase.cast("long").alias("phase"))
     parts = max(1, -(-total // bucket_rows))
     dealt = slim.join(_small(sources, per), "skey").withColumn("range", F.shiftright("h", 48)).withColumn("bucket", bucket).drop("range", "buckets")
     ordered = dealt.join(_small(offsets.select("skey", "bucket", "before"), fine), ["skey", "bucket"])
     rank = (F.row_number().over(W.partitionBy("skey", "bucket").orderBy("h", "doc_id", "text_crc32", "size")) - 1 + F.col("before")).cast("long")
-    ranked = ordered.withColumn("r", rank).withColumn("frac", (2 * F.col("r") + 1) / (2 * F.col("n")).cast("double")).withColumn("cut", F.expr(f"((2 * r + 1) * {parts}) div (2 * n)"))
-    # Rows of one source below the cut x are (2nx + parts - 1) div 2 parts, so places come from counts alone.
+    ranked = ordered.withColumn("r", rank).withColumn("frac", (STEPS * F.col("r") + F.col("phase")) / (STEPS * F.col("n")).cast("double"))
+    ranked = ranked.withColumn("cut", F.expr(f"(({STEPS} * r + phase) * {parts}) div ({STEPS} * n)"))
+    # How many rows of a source lie below a cut follows from its count, so places need no count of ranked rows.
     cuts = (
         sources.withColumn("cut", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))).withColumn("cut", F.col("cut").cast("long"))
-        .groupBy("cut").agg(F.sum(F.expr(f"(2 * n * cut + {parts} - 1) div (2 * {parts})")).alias("first_place"))
+        .groupBy("cut").agg(F.sum(F.expr(f"({STEPS} * n * cut + ({STEPS} - phase) * {parts} - 1) div ({STEPS} * {parts})")).alias("first_place"))
     )
     placed = ranked.join(_small(cuts, fine), "cut")
     place = (F.row_number().over(W.partitionBy("cut").orderBy("frac", "skey", "r")) - 1 + F.col("first_place")).cast("long")

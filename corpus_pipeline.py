@@ -13,10 +13,11 @@ SHARDS = 40
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised, with the predicted language in lang; rejected ones go."""
-    model = langid.fit(docs)
-    others = tuple(c for c in docs.columns if c != "text")
-    found = langid.identify(docs, model, others, keep_text=True).where(~F.col("rejected"))
-    return found.withColumn("lang", F.col("lang_pred")).select(*docs.columns)
+    # Other columns travel as one, so that none clashes with what the operator returns.
+    row = docs.select(F.struct(*[c for c in docs.columns if c != "text"]).alias("_row"), "text")
+    found = langid.identify(row, langid.fit(docs), ("_row",), keep_text=True).where(~F.col("rejected"))
+    new = {"text": F.col("text"), "lang": F.col("lang_pred").alias("lang")}
+    return found.select(*[new.get(c, F.col(f"_row.{c}")) for c in docs.columns])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

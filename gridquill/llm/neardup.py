@@ -41,9 +41,9 @@ SHARED, WHOLE = 34, 54
 #: Smaller sets link only with equal sets: a difference of one shingle already is more than 15 in 100.
 LEAST = 6
 #: Documents of a cluster that one task compares with each other or with as many others.
-BLOCK = 1024
+BLOCK = 512
 #: Text that a task of small clusters gets, on average.
-JOB_BYTES = 4 << 20
+JOB_BYTES = 1 << 20
 BROADCAST_NODES = 500_000
 
 

@@ -10,7 +10,7 @@ from pathlib import Path
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from .config import load_config, paths
+from .config import extraction_key, load_config, paths
 from .operators import assembly, generation, headers, markup, probe, ranking
 from .session import session, workers_see_package
 from .sources import documents, files
@@ -20,6 +20,7 @@ def extract(a, spark) -> dict:
     """Documents to tables and index entries; unchanged documents aren't read again without --rebuild."""
     config, where = load_config(a.config), paths()
     root, cache, index = a.statements_dir or f"{where['data']}/financial_statements", a.cache_dir or f"{where['interim']}/tables", a.index_path or f"{where['interim']}/tables_index"
+    cache = f"{cache}/{extraction_key(config)}"
     listed = documents.list_documents(spark, root)
     if a.limit_docs:
         listed = documents.sorted_documents(listed).limit(a.limit_docs)
@@ -54,7 +55,7 @@ def retrieve(a, spark) -> dict:
     if a.limit:
         questions = questions.orderBy("id").limit(a.limit)
     entries = spark.read.parquet(a.index_path or f"{where['interim']}/tables_index")
-    tables = spark.read.parquet(a.tables_cache_dir or f"{where['interim']}/tables")
+    tables = spark.read.parquet(f"{a.tables_cache_dir or where['interim'] + '/tables'}/{extraction_key(config)}")
     tables = tables.withColumn("csv_text", headers.table_csv(F.col("header"), F.col("rows"), config["retrieval"]["max_csv_chars"]))
     results = ranking.retrieve(questions, files.read_companies(spark, a.company_meta), entries, tables, config)
     out = a.out or f"{where['interim']}/retrieval_results"

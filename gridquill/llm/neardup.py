@@ -224,3 +224,16 @@ def deduplicate(docs: DataFrame, scratch: Scratch) -> DataFrame:
 
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"), Scratch(spark, "op9"))
+
+
+_CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+OP9_SQL = rf"""
+WITH RECURSIVE w AS MATERIALIZED (SELECT doc_id, coalesce(regexp_extract_all(translate(text, '{_CAPITALS}', '{_CAPITALS.lower()}'), '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+s AS MATERIALIZED (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(len(w) - 4), lambda i: array_to_string(w[i + 1:i + 5], ' ')) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS x FROM w),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS MATERIALIZED (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM s a JOIN s b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS MATERIALIZED (SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * shared >= 85 * (na.n + nb.n - shared)),
+e AS MATERIALIZED (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id AS a, doc_id AS b FROM w UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a)
+SELECT w.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, c AS component_id, w.doc_id = c AS kept FROM w LEFT JOIN n USING (doc_id) JOIN (SELECT a, min(b) AS c FROM r GROUP BY a) ON a = w.doc_id
+"""

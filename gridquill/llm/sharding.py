@@ -81,3 +81,16 @@ def _small(counts: DataFrame, sized_by: DataFrame) -> DataFrame:
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = interleave(read_table(spark, sf_dir, "documents"), 40, Scratch(spark, "op10"))
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+#: CRC-32 of a hexadecimal string's bytes, by a table of 256 remainders.
+_CRC = "xor(4294967295, list_reduce(list_transform(range(len({x}) // 2), lambda i: ('0x' || substr({x}, 2 * i + 1, 2))::BIGINT), lambda c, k: xor(c >> 8, t[1 + (xor(c, k) & 255)]), 4294967295::BIGINT))"
+OP10_SQL = f"""
+WITH t AS MATERIALIZED (SELECT list(list_reduce([0, 1, 2, 3, 4, 5, 6, 7], lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i::BIGINT) ORDER BY i) AS t FROM range(256) r(i)),
+d AS (SELECT doc_id, CASE WHEN source IS NULL THEN 't' ELSE 's' || source END AS skey, hex(encode(coalesce(text, ''))) AS x, ('0x' || substr(md5('11:' || coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS h FROM documents),
+c AS MATERIALIZED (SELECT doc_id, skey, h, (len(x) // 2 + 16)::BIGINT AS size, {_CRC.format(x="x")} AS text_crc32 FROM d, t),
+p AS (SELECT skey, count(*) AS n, 1 + {_CRC.format(x="hex(encode(skey))")} % 15 AS phase FROM c, t GROUP BY skey, t),
+r AS (SELECT c.*, n, phase, row_number() OVER (PARTITION BY c.skey ORDER BY h, doc_id NULLS FIRST, text_crc32, size) - 1 AS r FROM c JOIN p ON c.skey = p.skey),
+o AS (SELECT *, row_number() OVER (ORDER BY (16 * r + phase)::DOUBLE / (16 * n)::DOUBLE, encode(skey), r) - 1 AS place, count(*) OVER () AS total FROM r)
+SELECT doc_id, size, text_crc32, 'rows' AS law, (place * 40 // total)::INT AS shard, (place - ((place * 40 // total) * total + 39) // 40)::BIGINT AS slot, NULL::INT AS grown_shard FROM o
+"""

@@ -487,3 +487,15 @@ def remove_repeats(docs: DataFrame, scratch: Scratch) -> DataFrame:
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = remove_repeats(read_table(spark, sf_dir, "documents"), Scratch(spark, "op8"))
     return done.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP8_SQL = r"""
+WITH d AS MATERIALIZED (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+b AS MATERIALIZED (SELECT doc_id, unnest(range(len(x) // 2)) AS i, x, len(x) // 2 AS n FROM d),
+w AS MATERIALIZED (SELECT doc_id, i, n, md5(substr(x, 2 * i + 1, 100)) AS h, substr(x, 2 * i + 1, 2) AS c FROM b),
+m AS MATERIALIZED (SELECT h, min(doc_id) AS first FROM w WHERE i + 50 <= n GROUP BY h),
+f AS (SELECT doc_id, i, c, n, coalesce(max(CASE WHEN i + 50 <= n AND first < doc_id THEN i END) OVER (PARTITION BY doc_id ORDER BY i), -99) + 50 > i AS gone FROM w LEFT JOIN m USING (h)),
+g AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY i), false) AS opens FROM f),
+k AS (SELECT doc_id, count(*) FILTER (gone) AS n_removed, count(*) FILTER (opens) AS n_spans, sha256(unhex(coalesce(string_agg(c, '' ORDER BY i) FILTER (NOT gone), ''))) AS kept_sha256 FROM g GROUP BY doc_id)
+SELECT doc_id, (len(x) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans, coalesce(kept_sha256, sha256('')) AS kept_sha256 FROM d LEFT JOIN k USING (doc_id)
+"""

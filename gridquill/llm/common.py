@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
+import time
 import uuid
 from pathlib import Path
 
@@ -63,11 +65,14 @@ class Scratch:
             path.getFileSystem(conf).delete(path, True)
 
     def free_shuffles(self) -> None:
-        """Shuffle files go when the driver's JVM collects their handles; ask for that between steps."""
-        import gc
-
-        gc.collect()
-        self.spark.sparkContext._jvm.System.gc()
+        """Shuffle files go when the driver's JVM collects their handles; ask for that between steps.
+
+        One collection lets go of what Python held, the next of the handles, and Spark's cleaner needs a moment.
+        """
+        for _ in range(3):
+            gc.collect()
+            self.spark.sparkContext._jvm.System.gc()
+            time.sleep(0.2)
 
 
 def hash60(*cols: Column) -> Column:

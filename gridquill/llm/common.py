@@ -15,16 +15,21 @@ from pyspark.sql import functions as F
 #: Word characters of every word count and shingle here: all but ASCII white space.
 WORD_PATTERN = "[^\\x20\\x09-\\x0D]+"
 
+BATCH_SETTING, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 2_000
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def workers_see_package(spark: SparkSession) -> None:
-    """Python workers on this host find the package wherever the driver was started.
+    """Python workers on this host find the package wherever the driver was started, and get batches of fewer rows.
 
     On a cluster the package is installed or passed with ``--py-files``.
     """
+    # Rows here are whole texts: Spark's default of 10,000 rows would be batches of many megabytes on both sides.
+    if spark.conf.get(BATCH_SETTING) == "10000":
+        spark.conf.set(BATCH_SETTING, BATCH_ROWS)
     root = str(Path(__file__).resolve().parents[2])
     env = spark.sparkContext.environment
     paths = env.get("PYTHONPATH", "").split(os.pathsep)

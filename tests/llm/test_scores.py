@@ -90,6 +90,19 @@ def test_distance_rejects_other_scripts(spark):
     assert got[1].rejected and not got[2].rejected and got[2].lang_pred == "en"
 
 
+def test_languages_left_out_of_the_fit_are_rejected(spark):
+    docs = spark.read.parquet(f"{MEDIUM}/documents.parquet").where("lang is not null and text is not null").select("doc_id", "text", "lang")
+    rng = np.random.default_rng(0)
+    noise = ["".join(map(chr, rng.integers(a, b, 2000))) for a, b in ((97, 123), (0x4E00, 0x9FFF))]
+    noise = spark.createDataFrame(list(enumerate(noise)), "doc_id long, text string")
+    for out in sorted(r.lang for r in docs.select("lang").distinct().collect()):
+        model = langid.fit(docs.where(F.col("lang") != out))
+        got = langid.identify(docs, model, ("lang",)).toPandas()
+        own = got.lang == out
+        assert got.rejected[own].mean() >= 0.96 and got.rejected[~own].mean() <= 0.001, out
+        assert langid.identify(noise, model).where("rejected").count() == 2
+
+
 def test_dual_coordinate_descent_separates():
     x = [np.array([0, 2]), np.array([0, 3]), np.array([1, 2]), np.array([1, 3])]
     y = np.array([1.0, 1.0, -1.0, -1.0])

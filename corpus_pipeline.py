@@ -9,6 +9,8 @@ from gridquill.llm import decontam, langid, mixing, neardup, sharding
 from gridquill.llm.common import Scratch, read_table
 
 SHARDS = 40
+#: Similarity in hundredths from which documents are near-duplicates here.
+SIMILARITY = 85
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,7 +24,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of near-duplicates."""
-    return neardup.deduplicate(docs, Scratch(spark, "near")).select(*docs.columns)
+    return neardup.deduplicate(docs, Scratch(spark, "near"), SIMILARITY).select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -4,7 +4,7 @@ A document's sketch is the K smallest hashes of its word shingles. The union of
 K smallest hashes, and a share of about their Jaccard similarity of those is in both sketches. So
 linked documents share at least need() retained values (at similarity 0.85 and K = 64 fewer than 34
 are shared with probability 3e-10; sets of 54 shingles at most are in the sketch whole, and there the
-bound is exact).
+bound is exact). The similarity is a parameter, and bounds() derives these numbers from it.
 
 Inverted lists are kept for the rarest retained values of each document only: of two sketches that
 share need() values, the size - need() + 1 rarest ones share one (values in order of the number of
@@ -23,6 +23,8 @@ Documents with equal sets are one node from the start.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -35,11 +37,10 @@ from .common import Scratch, read_table, workers_see_package
 from .components import components
 from .textvec import U, shingle_sets, slices, text_slices, utf8
 
+#: Retained values, words of a shingle, and the similarity in hundredths that op9 links from.
 K, WIDTH, PERCENT = 64, 5, 85
-#: Linked sketches share this many values at least; smaller sets share PERCENT of their own size.
-SHARED, WHOLE = 34, 54
-#: Smaller sets link only with equal sets: a difference of one shingle already is more than 15 in 100.
-LEAST = 6
+#: Linked sketches share fewer values than asked for with a probability below this.
+TAIL = 1e-9
 #: Documents of a cluster that one task compares with each other or with as many others.
 BLOCK = 512
 #: Text that a task of small clusters gets, on average.
@@ -47,6 +48,23 @@ JOB_BYTES = 1 << 20
 BROADCAST_NODES = 500_000
 
 
+@dataclass(frozen=True)
+class Bounds:
+    percent: int
+    shared: int  # values that linked sketches share at least
+    whole: int  # sets up to this size and all that they link with are in the sketch whole: they share percent of their own size
+    least: int  # smaller sets link only with equal sets: a difference of one shingle already is too much
+
+
+def bounds(percent: int) -> Bounds:
+    if not 50 <= percent <= 99:
+        raise ValueError("similarity is from 50 to 99 in 100")
+    p, shared, below = percent / 100, 0, 0.0
+    while (below := below + comb(K, shared) * p**shared * (1 - p) ** (K - shared)) < TAIL:
+        shared += 1
+    return Bounds(percent, shared, K * percent // 100, -(-percent // (100 - percent)))
+
+
 def sketches(docs: DataFrame) -> DataFrame:
     """doc_id, n (shingles), set_key (128-bit hash of the set), sketch (K smallest hashes, 8 bytes each)."""
 
@@ -60,12 +78,13 @@ def sketches(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, set_key binary, sketch binary")
 
 
-def need(n: np.ndarray) -> np.ndarray:
+def need(n: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     """Retained values that a set of n shingles shares with any set that it is linked to."""
-    return np.where(n <= WHOLE, -(-PERCENT * n // 100), SHARED)
+    b = bounds(percent)
+    return np.where(n <= b.whole, -(-percent * n // 100), b.shared)
 
 
-def retained(nodes: DataFrame) -> DataFrame:
+def retained(nodes: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(value, node) for every retained value."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -74,15 +93,16 @@ def retained(nodes: DataFrame) -> DataFrame:
             count = pc.binary_length(batch.column("sketch")).to_numpy(zero_copy_only=False) // 8
             yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(np.repeat(batch.column("node").to_numpy(), count))], ["value", "node"])
 
-    return nodes.where(F.col("n") >= LEAST).select("node", "sketch").mapInArrow(run, "value long, node long")
+    return nodes.where(F.col("n") >= bounds(percent).least).select("node", "sketch").mapInArrow(run, "value long, node long")
 
 
-def clusters(nodes: DataFrame, scratch: Scratch) -> DataFrame:
+def clusters(nodes: DataFrame, scratch: Scratch, percent: int = PERCENT) -> DataFrame:
     """(node, comp): candidate clusters, for nodes that share a rare retained value with others."""
-    every = scratch.table(retained(nodes), "retained")
+    limit = bounds(percent)
+    every = scratch.table(retained(nodes, percent), "retained")
     common = every.groupBy("value").agg(F.count("*").alias("df")).where("df > 1")
     shared = every.join(common, "value").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("df", "value"))).alias("own"))
-    sizes = nodes.select("node", "n", F.least("n", F.lit(K)).alias("kept"), F.when(F.col("n") <= WHOLE, F.ceil(F.col("n") * PERCENT / 100)).otherwise(F.lit(SHARED)).alias("need"))
+    sizes = nodes.select("node", "n", F.least("n", F.lit(K)).alias("kept"), F.when(F.col("n") <= limit.whole, F.ceil(F.col("n") * percent / 100)).otherwise(F.lit(limit.shared)).alias("need"))
     # Values of this node alone are the rarest: they take their places in the prefix, and make no list.
     room = F.col("kept") - F.col("need") + 1 - (F.col("kept") - F.size("own"))
     rare = shared.join(sizes, "node").where(room > 0).select("node", F.explode(F.slice("own", F.lit(1), room.cast("int")))).select("node", F.col("col.value").alias("value"))
@@ -96,7 +116,7 @@ def clusters(nodes: DataFrame, scratch: Scratch) -> DataFrame:
     return found
 
 
-def links_among(ids: np.ndarray, sets: list[np.ndarray], block: np.ndarray) -> list[tuple[int, int]]:
+def links_among(ids: np.ndarray, sets: list[np.ndarray], block: np.ndarray, percent: int = PERCENT) -> list[tuple[int, int]]:
     """Links that connect the sets, none between sets that others connect already.
 
     Where block has two values, only pairs across them are compared.
@@ -105,7 +125,7 @@ def links_among(ids: np.ndarray, sets: list[np.ndarray], block: np.ndarray) -> l
     size = np.array([len(s) for s in sets])
     sketch = [s[:K] for s in sets]
     kept = np.minimum(size, K)
-    least = need(size)
+    least = need(size, percent)
     table = np.full((m, K), np.iinfo(np.uint64).max, U)
     for row, s in enumerate(sketch):
         table[row, : len(s)] = s
@@ -125,7 +145,7 @@ def links_among(ids: np.ndarray, sets: list[np.ndarray], block: np.ndarray) -> l
         return who[np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(low, count)]
 
     for x in range(m):
-        able = (root[:x] != root[x]) & (size[:x] * 100 >= size[x] * PERCENT) & (size[x] * 100 >= size[:x] * PERCENT)
+        able = (root[:x] != root[x]) & (size[:x] * 100 >= size[x] * percent) & (size[x] * 100 >= size[:x] * percent)
         if cross:
             able &= block[:x] != block[x]
         if not able.any():
@@ -142,18 +162,18 @@ def links_among(ids: np.ndarray, sets: list[np.ndarray], block: np.ndarray) -> l
         union = np.minimum(K, kept[x] + kept[likely] - both.sum(1))
         share = (both & (rank <= K)).sum(1) / union
         whole = (size[x] < K) & (size[likely] < K)
-        likely = likely[np.where(whole, share * 100 >= PERCENT - 1e-9, share + 5 * np.sqrt(0.1275 / union) >= PERCENT / 100)]
+        likely = likely[np.where(whole, share * 100 >= percent - 1e-9, share + 5 * np.sqrt(percent * (100 - percent) / 10_000 / union) >= percent / 100)]
         if not len(likely):
             continue
         inter = np.bincount(holders(sets[x], full_values, full_holder), minlength=m)[likely]
-        for y in likely[100 * inter >= PERCENT * (size[x] + size[likely] - inter)]:
+        for y in likely[100 * inter >= percent * (size[x] + size[likely] - inter)]:
             if root[y] != root[x]:
                 out.append((int(ids[x]), int(ids[y])))
                 root[root == root[x]] = root[y]
     return out
 
 
-def links(texts: DataFrame, found: DataFrame, scratch: Scratch) -> DataFrame:
+def links(texts: DataFrame, found: DataFrame, scratch: Scratch, percent: int = PERCENT) -> DataFrame:
     """(a, b): links that connect the nodes of each cluster. texts: node, text."""
     sizes = found.groupBy("comp").agg(F.count("*").alias("members"))
     placed = found.join(sizes, "comp").withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int"))
@@ -175,15 +195,15 @@ def links(texts: DataFrame, found: DataFrame, scratch: Scratch) -> DataFrame:
         for group in np.split(order, np.flatnonzero(np.diff(comp[order])) + 1):
             group = np.array([k for k in group if len(sets[k])], np.int64)
             if len(group) > 1:
-                out += links_among(node[group], [sets[k] for k in group], own[group])
+                out += links_among(node[group], [sets[k] for k in group], own[group], percent)
         a, b = zip(*out, strict=True) if out else ((), ())
         return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
     return small.unionByName(wide).groupBy("job", "i", "j").applyInArrow(compare, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """Component of every document.
+def near_duplicates(docs: DataFrame, scratch: Scratch, percent: int = PERCENT) -> DataFrame:
+    """Component of every document; sets are linked from a Jaccard similarity of percent in 100 on.
 
     docs: doc_id, text; other columns are ignored. A set has the distinct five-word shingles of the text in lower
     case; a shorter text has its whole word sequence as one; a null or empty text, or one of white space, has
@@ -196,10 +216,10 @@ def near_duplicates(docs: DataFrame, scratch: Scratch) -> DataFrame:
     own = scratch.table(sketches(docs), "sketches")
     classes = own.where("n > 0 and doc_id is not null").groupBy("set_key", "n").agg(F.min("doc_id").alias("node"), F.first("sketch").alias("sketch"))
     nodes = scratch.table(classes, "nodes")
-    found = clusters(nodes, scratch)
+    found = clusters(nodes, scratch, percent)
     few = found.limit(BROADCAST_NODES + 1).count() <= BROADCAST_NODES
     texts = docs.select(F.col("doc_id").alias("node"), "text").join(F.broadcast(found.select("node")) if few else found.select("node"), "node", "left_semi")
-    joined = scratch.table(links(texts, found, scratch), "links")
+    joined = scratch.table(links(texts, found, scratch, percent), "links")
     labels = components(joined, scratch) if joined.limit(1).count() else None
     named_sets = own.select("doc_id", "n", "set_key").join(nodes.select("set_key", "n", "node"), ["set_key", "n"], "left")
     linked = named_sets.join(labels, "node", "left") if labels is not None else named_sets.withColumn("comp", F.lit(None).cast("long"))
@@ -207,12 +227,12 @@ def near_duplicates(docs: DataFrame, scratch: Scratch) -> DataFrame:
     return found.select("doc_id", F.col("n").alias("n_shingles"), F.col("c").alias("component_id"), F.coalesce(F.col("doc_id") == F.col("c"), F.lit(True)).alias("kept"))
 
 
-def deduplicate(docs: DataFrame, scratch: Scratch) -> DataFrame:
+def deduplicate(docs: DataFrame, scratch: Scratch, percent: int = PERCENT) -> DataFrame:
     """docs with one document of each component, the one with the smallest id; columns stay.
 
     Rows with a null doc_id stay. Of rows that share a doc_id one stays.
     """
-    found = near_duplicates(docs, scratch)
+    found = near_duplicates(docs, scratch, percent)
     gone = scratch.table(found.where("not kept").select(F.col("doc_id").alias("_gone")).distinct(), "gone")
     few = gone.limit(BROADCAST_NODES + 1).count() <= BROADCAST_NODES
     rest = docs.join(F.broadcast(gone) if few else gone, F.col("doc_id") == F.col("_gone"), "left_anti")

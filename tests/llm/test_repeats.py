@@ -99,6 +99,20 @@ def test_groups_across_blocks_lose_no_link(spark, monkeypatch):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want
 
 
+def test_similarity_is_a_parameter(spark):
+    """Five pairs with 80 to 85 in 100 in common, small and large, are linked at 80 and not at 85."""
+    rows = []
+    for k, (n, drop) in enumerate([(4, 1), (20, 4), (60, 11), (200, 38), (1000, 180)]):
+        words = [f"p{k}w{i}" for i in range(n + 4)]
+        rows += [(10 * k, " ".join(words)), (10 * k + 1, " ".join(words[: n + 4 - drop]))]
+    rows = [r for r in rows if r[0] > 1] + [(0, "a b c d e f g h i"), (1, "a b c d e f g h")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for percent, kept in ((80, 5), (85, 10)):
+        assert neardup.deduplicate(docs, Scratch(spark, "t"), percent).count() == kept
+        assert neardup.near_duplicates(docs, Scratch(spark, "t"), percent).where("kept").count() == kept
+    assert neardup.bounds(85) == neardup.Bounds(85, 34, 54, 6) and neardup.bounds(80) == neardup.Bounds(80, 30, 51, 4)
+
+
 def test_estimate_is_exact_for_small_sets():
     rng = np.random.default_rng(5)
     base = np.unique(rng.integers(0, 1 << 62, 40).astype(np.uint64))

@@ -125,7 +125,7 @@ def links_among(ids: np.ndarray, sets: list[np.ndarray], block: np.ndarray, perc
     size = np.array([len(s) for s in sets])
     sketch = [s[:K] for s in sets]
     kept = np.minimum(size, K)
-    least = need(size, percent)
+    least, shared = need(size, percent), bounds(percent).shared
     table = np.full((m, K), np.iinfo(np.uint64).max, U)
     for row, s in enumerate(sketch):
         table[row, : len(s)] = s
@@ -154,15 +154,15 @@ def links_among(ids: np.ndarray, sets: list[np.ndarray], block: np.ndarray, perc
         likely = np.flatnonzero(able & (overlap >= np.maximum(least[:x], least[x])))
         if not len(likely):
             continue
-        # Shared values with their rank in the union: the share among the union's K smallest estimates the similarity.
+        # Shared values with their rank in the union: of the union's K smallest, a linked pair shares as many as linked sketches do.
         rows = table[likely]
         at = np.minimum(np.searchsorted(sketch[x], rows), kept[x] - 1)
         both = (sketch[x][at] == rows) & (np.arange(K) < kept[likely][:, None])
         rank = at + np.arange(K) + 2 - np.cumsum(both, 1)
-        union = np.minimum(K, kept[x] + kept[likely] - both.sum(1))
-        share = (both & (rank <= K)).sum(1) / union
-        whole = (size[x] < K) & (size[likely] < K)
-        likely = likely[np.where(whole, share * 100 >= percent - 1e-9, share + 5 * np.sqrt(percent * (100 - percent) / 10_000 / union) >= percent / 100)]
+        common = overlap[likely]
+        exact = 100 * common >= percent * (size[x] + size[likely] - common)
+        whole = (size[x] <= K) & (size[likely] <= K)
+        likely = likely[np.where(whole, exact, (both & (rank <= K)).sum(1) >= shared)]
         if not len(likely):
             continue
         inter = np.bincount(holders(sets[x], full_values, full_holder), minlength=m)[likely]

@@ -121,6 +121,17 @@ def test_estimate_is_exact_for_small_sets():
     assert neardup.links_among(np.array([1, 2, 3]), [base, near, far], np.zeros(3, int)) == [(2, 1)]
 
 
+def test_filters_before_the_full_sets_lose_no_link():
+    """Linked large sets that share 36 of the union's 64 smallest, and sets of 63 with 58 in common, whose union has more than 64."""
+    low, high = np.arange(100, dtype=np.uint64), np.arange(1000, 2000, dtype=np.uint64)
+    a = np.concatenate([low[:50], high])
+    b = np.concatenate([low[:36], low[50:64], high])
+    assert neardup.links_among(np.array([1, 2]), [a, b], np.zeros(2, int)) == [(2, 1)]
+    a = np.concatenate([low[:5], high[:58]])
+    b = np.concatenate([low[5:10], high[:58]])
+    assert neardup.links_among(np.array([1, 2]), [a, b], np.zeros(2, int)) == [(2, 1)]
+
+
 def test_components_of_a_chain_and_a_star(spark):
     edges = [(k, k + 1) for k in range(60)] + [(100, 200 + k) for k in range(50)]
     got = {r.node: r.comp for r in components.components(spark.createDataFrame(edges, "a long, b long"), Scratch(spark, "t")).collect()}

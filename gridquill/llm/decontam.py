@@ -3,8 +3,9 @@
 Tokens of benchmark items and documents become templates: numbers (digits or words), units next to
 numbers, and names (capitalised words) turn into typed placeholders, a run of one type into one.
 Windows of five template tokens are joined by hash. Along one alignment of an item and a document,
-a value in the item's slots must always stand for one value in the document's slots; alignments
-where it doesn't are dropped. So a question with other numbers and names is found, while text that
+a value in the item's slots must always stand for one value in the document's slots. Where it
+doesn't, windows count only with the item's own value, or else with the one value that most of its
+slots have; the others are dropped. So a question with other numbers and names is found, while text that
 only looks alike isn't. A second template without names finds copies in other letter case.
 """
 
@@ -14,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import Scratch, read_table, workers_see_package
@@ -130,20 +131,22 @@ def template_windows(words: Words, kinds: np.ndarray, names: bool, width: int =
     return {"row": doc[start], "pos": start - first[doc[start]], "h": np.concatenate(hashes).view(np.int64), "start": start, "length": length, "kind": kind, "value": value.view(np.int64)}
 
 
-def _picked(found: dict[str, np.ndarray], pick: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]:
-    """(row, position, hash, slot values as a list array) of the picked windows."""
+def _picked(found: dict[str, np.ndarray], pick: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array, pa.Array]:
+    """(row, position, hash, slot values and slot positions as list arrays) of the picked windows."""
     if not len(pick):
-        return *(np.zeros(0, np.int64),) * 3, pa.array([], pa.list_(pa.int64()))
+        return *(np.zeros(0, np.int64),) * 3, *(pa.array([], pa.list_(pa.int64())),) * 2
     slot = np.flatnonzero(found["kind"] != LITERAL)
     low, high = np.searchsorted(slot, found["start"][pick]), np.searchsorted(slot, found["start"][pick] + found["length"][pick])
     bounds = np.concatenate([[0], np.cumsum(high - low)])
     flat = np.arange(bounds[-1]) - np.repeat(bounds[:-1], high - low) + np.repeat(low, high - low)
-    lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(found["value"][slot[flat]] if len(flat) else np.zeros(0, np.int64)))
-    return found["row"][pick], found["pos"][pick], found["h"][pick], lists
+    at = slot[flat] if len(flat) else np.zeros(0, np.int64)
+    first = np.repeat((found["start"] - found["pos"])[pick], high - low)
+    lists = [pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(v)) for v in (found["value"][at], at - first)]
+    return found["row"][pick], found["pos"][pick], found["h"][pick], *lists
 
 
 def windows_of(rows: DataFrame, keys: tuple[str, ...], known: np.ndarray | None, width: int = WIDTH) -> DataFrame:
-    """The named columns, names, pos, h and slots of the rows' windows; with known, only of windows in that sorted array."""
+    """The named columns, names, pos, h, slots and slot positions of the rows' windows; with known, only of windows in that sorted array."""
     kept = rows.select(*keys, "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,13 +155,29 @@ def windows_of(rows: DataFrame, keys: tuple[str, ...], known: np.ndarray | None,
             for names in (False, True):
                 found = template_windows(words, kinds, names, width)
                 pick = np.arange(len(found["h"])) if known is None else np.flatnonzero(_within(found["h"], known))
-                row, pos, h, slots = _picked(found, pick)
+                row, pos, h, slots, slot_at = _picked(found, pick)
                 if len(row):
                     own = [c.take(pa.array(row)) for c in part.columns[:-1]]
-                    yield pa.RecordBatch.from_arrays([*own, pa.array(np.full(len(row), names)), pa.array(pos), pa.array(h), slots], [*keys, "names", "pos", "h", "slots"])
+                    yield pa.RecordBatch.from_arrays([*own, pa.array(np.full(len(row), names)), pa.array(pos), pa.array(h), slots, slot_at], [*keys, "names", "pos", "h", "slots", "slot_at"])
 
     shape = ", ".join(f"`{c}` {kept.schema[c].dataType.simpleString()}" for c in keys)
-    return kept.mapInArrow(run, f"{shape}, names boolean, pos long, h long, slots array<long>")
+    return kept.mapInArrow(run, f"{shape}, names boolean, pos long, h long, slots array<long>, slot_at array<long>")
+
+
+def _consistent(found: Column) -> Column:
+    """Those windows (item_pos, bound) of one alignment in which every item value has the document value that stands for it.
+
+    That is its only one, else the item's own, else the one in more of the item's slots than any other; if none is, its windows go.
+    """
+    bound = F.array_distinct(F.flatten(found["bound"]))
+    pair = lambda b: F.struct(b["item_slots"].alias("i"), b["slots"].alias("d"))
+    every = F.transform(bound, pair)
+    distinct = F.array_distinct(every)
+    counted = F.transform(distinct, lambda p: F.struct(p["i"].alias("i"), p["d"].alias("d"), F.size(F.filter(every, lambda q: q == p)).alias("n")))
+    rival = lambda p, q: (q["i"] == p["i"]) & (q["d"] != p["d"]) & ((q["d"] == q["i"]) | (q["n"] >= p["n"]))
+    held = F.transform(F.filter(counted, lambda p: (p["i"] == p["d"]) | ~F.exists(counted, lambda q: rival(p, q))), lambda p: F.struct(p["i"].alias("i"), p["d"].alias("d")))
+    single = F.size(distinct) == F.size(F.array_distinct(F.transform(distinct, lambda p: p["i"])))
+    return F.when(single, found).otherwise(F.filter(found, lambda w: F.forall(w["bound"], lambda b: F.array_contains(held, pair(b)))))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, scratch: Scratch, coverage: float = COVERAGE, width: int = WIDTH) -> DataFrame:
@@ -177,14 +196,14 @@ def contamination(docs: DataFrame, benchmark: DataFrame, scratch: Scratch, cover
     few = items.limit(BROADCAST_WINDOWS + 1).count() <= BROADCAST_WINDOWS
     known = np.unique(items.select("h").toArrow()["h"].to_numpy()) if few else None
     keyed = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
-    found = windows_of(keyed, ("doc_id", "text_key"), known, width)
-    item_side = items.select("item_id", "names", F.col("pos").alias("item_pos"), "h", F.col("slots").alias("item_slots"))
+    found = windows_of(keyed, ("doc_id", "text_key"), known, width).drop("slot_at")
+    item_side = items.select("item_id", "names", F.col("pos").alias("item_pos"), "h", F.col("slots").alias("item_slots"), "slot_at")
     pairs = found.join(F.broadcast(item_side) if few else item_side, ["names", "h"])
     aligned = pairs.groupBy("doc_id", "text_key", "item_id", "names", (F.col("pos") - F.col("item_pos")).alias("diagonal")).agg(
-        F.collect_set("item_pos").alias("at"), F.array_distinct(F.flatten(F.collect_list(F.arrays_zip("item_slots", "slots")))).alias("bound")
+        F.collect_set(F.struct("item_pos", F.arrays_zip("slot_at", "item_slots", "slots").alias("bound"))).alias("found")
     )
-    # One value of the item stands for one value of the document, throughout the alignment.
-    consistent = aligned.where(F.size("bound") == F.size(F.array_distinct(F.transform("bound", lambda b: b["item_slots"]))))
+    consistent = aligned.select("doc_id", "text_key", "item_id", "names", _consistent(F.col("found")).alias("found")).where(F.size("found") > 0)
+    consistent = consistent.select("doc_id", "text_key", "item_id", "names", F.col("found.item_pos").alias("at"), F.flatten("found.bound").alias("bound"))
     covered = consistent.groupBy("doc_id", "text_key", "item_id", "names").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("at")))).alias("covered"), F.max(F.exists("bound", lambda b: b["item_slots"] != b["slots"])).alias("reparameterised")
     )

@@ -259,6 +259,15 @@ def test_parameters_of_a_question(text, hit, spark):
     assert decontam.decontaminate(d, b, Scratch(spark, "t")).count() == (0 if hit else 1)
 
 
+def test_one_changed_number_hides_no_copy(spark):
+    """A value that the item has twice, changed in one place only, drops just the windows of that place."""
+    b = spark.createDataFrame([(1, QUESTION)], "item_id long, text string")
+    d = documents(spark, [(1, QUESTION.replace("3 pears", "4 pears"), None, None), (2, QUESTION, None, None)])
+    got = {r.doc_id: r for r in decontam.contamination(d, b, Scratch(spark, "t")).collect()}
+    assert set(got) == {1, 2} and got[2].windows / 2 <= got[1].covered < got[2].covered == got[2].windows and not got[1].reparameterised
+    assert decontam.decontaminate(d, b, Scratch(spark, "t")).count() == 0
+
+
 def test_windows_without_broadcast(spark, monkeypatch):
     """Beyond the bound all windows are joined by a shuffle, with the same result."""
     b = spark.createDataFrame([(1, QUESTION)], "item_id long, text string")

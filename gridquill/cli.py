@@ -1,4 +1,7 @@
-"""Command line: python -m gridquill.cli STEP [options]. Steps: extract, retrieve, probe, generate, assemble, zip."""
+"""Command line: python -m gridquill.cli STEP [options]. Steps: extract, retrieve, probe, generate, assemble, zip.
+
+--predictions takes several places, divided by commas: the shards of one run, later ones going before earlier ones.
+"""
 
 from __future__ import annotations
 
@@ -11,9 +14,13 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from .config import extraction_key, load_config, paths
-from .operators import assembly, generation, headers, markup, probe, ranking
+from .operators import assembly, generation, headers, markup, probe, ranking, search
 from .session import session, workers_see_package
 from .sources import documents, files
+from .sources.cache import TableCache
+
+#: Questions that one run of predictions holds: what a failure can cost.
+BATCH_QUESTIONS = 1_000
 
 
 def extract(a, spark) -> dict:
@@ -24,12 +31,10 @@ def extract(a, spark) -> dict:
     listed = documents.list_documents(spark, root)
     if a.limit_docs:
         listed = documents.sorted_documents(listed).limit(a.limit_docs)
-    seen = spark.read.parquet(cache).select("doc_name", "size", "modified").distinct() if Path(cache).exists() and not a.rebuild else None
-    fresh = documents.scan_documents(spark, root).join(documents.changed_documents(listed, seen).select("doc_name"), "doc_name", "left_semi")
     base, r = config["extraction"]["table_ref_line_base"], config["retrieval"]
-    found = headers.split_header(markup.extract_tables(fresh, base))
-    found.withColumn("part_ticker", F.col("ticker")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("part_ticker").parquet(cache)
-    tables = spark.read.parquet(cache)
+    kept = TableCache(spark, cache)
+    kept.update(listed, lambda docs: headers.split_header(markup.extract_tables(docs, base)), root, a.rebuild)
+    tables = kept.tables(listed)
     companies = files.read_companies(spark, a.company_meta) if a.company_meta else None
     chosen = tables.where(headers.eligible(F.col("grid"), r["min_table_cells"], r["require_numeric"]))
     headers.index_entries(chosen, companies).write.mode("overwrite").parquet(index)
@@ -55,9 +60,10 @@ def retrieve(a, spark) -> dict:
     if a.limit:
         questions = questions.orderBy("id").limit(a.limit)
     entries = spark.read.parquet(a.index_path or f"{where['interim']}/tables_index")
-    tables = spark.read.parquet(f"{a.tables_cache_dir or where['interim'] + '/tables'}/{extraction_key(config)}")
+    tables = TableCache(spark, f"{a.tables_cache_dir or where['interim'] + '/tables'}/{extraction_key(config)}").tables()
     tables = tables.withColumn("csv_text", headers.table_csv(F.col("header"), F.col("rows"), config["retrieval"]["max_csv_chars"]))
-    results = ranking.retrieve(questions, files.read_companies(spark, a.company_meta), entries, tables, config)
+    index = search.stored_index(entries, a.bm25_cache_dir or f"{where['interim']}/bm25", rebuild=a.rebuild_index)
+    results = ranking.retrieve(questions, files.read_companies(spark, a.company_meta), entries, tables, config, index)
     out = a.out or f"{where['interim']}/retrieval_results"
     files.write_json(results, out)
     return ranking.retrieval_stats(files.read_retrieval(spark, out)).first().asDict()
@@ -71,7 +77,9 @@ def run_probe(a, spark) -> dict:
     told = question_intent(results.select("id", "question"), companies).select("id", "ticker_in_parens")
     rows = results.join(told, "id").cache()
     out = probe.report(rows).first().asDict() | {"hit_rate": probe.hit_rates(rows).first().asDict(), "parser": {r.outcome: r.n for r in probe.parser_agreement(results.select("id", "question"), companies).collect()}}
-    out["top1_score"] = rows.where(F.size("candidates") > 0).agg(*probe.percentiles(F.get("candidates", F.lit(0))["score"])).first().asDict()
+    scores = rows.where(F.size("candidates") > 0).select(F.get("candidates", F.lit(0))["score"].alias("score"))
+    out["top1_score"] = {k: v for k, v in probe.percentiles(scores, [], "score").first().asDict().items()} if scores.limit(1).count() else {}
+    out["wrong_top5"] = {r.ticker: r.n for r in probe.wrong_tickers(rows).orderBy(F.desc("n"), "ticker").limit(20).collect()}
     if a.show:
         probe.examples(rows, a.show).show(a.show, truncate=160, vertical=True)
     if a.out:
@@ -91,7 +99,8 @@ def generate(a, spark) -> dict:
     todo = generation.pending(results, done, {int(x) for x in a.ids.split(",")} if a.ids else None, a.limit)
     if not (a.dry_run or a.stub_query):
         raise SystemExit("no model here: pass --dry-run or --stub-query, or call gridquill.operators.generation.predict with a model")
-    files.append_predictions(generation.predict(todo, config, stub=a.stub_query), out)
+    for part in generation.batches(todo, BATCH_QUESTIONS):
+        files.append_predictions(generation.predict(part, config, stub=a.stub_query), out)
     return files.read_predictions(spark, out).agg(F.count("*").alias("predictions"), F.count_if("exec_ok").alias("exec_ok")).first().asDict()
 
 
@@ -99,8 +108,10 @@ def assemble(a, spark) -> dict:
     config, where = load_config(a.config), paths()
     questions = files.read_questions(spark, a.questions or f"{where['data']}/questions.jsonl")
     results = files.read_retrieval(spark, a.retrieval or f"{where['interim']}/retrieval_results")
-    predictions = files.read_predictions(spark, a.predictions or f"{where['out']}/predictions")
-    made = [df.cache() for df in assembly.assemble(questions, results, predictions, None, config, not a.no_reexecute)]
+    predictions = files.read_predictions(spark, (a.predictions or f"{where['out']}/predictions").split(","))
+    stored = TableCache(spark, f"{a.tables_cache_dir or where['interim'] + '/tables'}/{extraction_key(config)}")
+    tables = stored.tables().select("table_ref", "order", headers.table_csv(F.col("header"), F.col("rows")).alias("csv_text")) if stored.runs() else None
+    made = [df.cache() for df in assembly.assemble(questions, results, predictions, tables, config, not a.no_reexecute)]
     stats = assembly.assembly_stats(*made).first().asDict() | {"validation_errors": assembly.validate(made[0], questions).count()}
     files.write_submission(made[0], made[2], a.build_dir or f"{where['out']}/submission", stats, made[1])
     return stats
@@ -115,6 +126,7 @@ def archive(a, spark) -> dict:
     names = spark.createDataFrame([(f"data/{p.name}",) for p in Path(folder, "data").glob("*.csv")], "csv_path string")
     expected = files.read_questions(spark, a.questions) if a.questions else None
     errors = [f"id={r.id} {r.rule} {r.detail}" for r in assembly.validate(items, expected, names).toLocalIterator()]
+    errors += [f"id=None extra_json {name}" for name in files.extra_json(folder)]
     if a.check_only:
         return {"errors": errors}
     return {"zip": files.zip_submission(folder, a.zip_path or f"{where['out']}/submission.zip", errors)}
@@ -124,8 +136,8 @@ STEPS = {
     "extract": (extract, "--statements-dir --cache-dir --index-path --company-meta --config --rebuild! --limit-docs#"),
     "retrieve": (retrieve, "--questions --index-path --bm25-cache-dir --tables-cache-dir --company-meta --out --config --limit# --ids --rebuild-index!"),
     "probe": (run_probe, "--retrieval --company-meta --show# --out"),
-    "generate": (generate, "--retrieval --out --work-dir --config --model --limit# --ids --no-resume! --dry-run! --stub-query --shard"),
-    "assemble": (assemble, "--questions --retrieval --predictions --build-dir --config --no-reexecute!"),
+    "generate": (generate, "--retrieval --out --config --limit# --ids --no-resume! --dry-run! --stub-query --shard"),
+    "assemble": (assemble, "--questions --retrieval --predictions --tables-cache-dir --build-dir --config --no-reexecute!"),
     "zip": (archive, "--build-dir --zip-path --questions --check-only!"),
 }
 

@@ -80,37 +80,35 @@ def coerce_number(value: object) -> float | None:
     return float(value) if math.isfinite(value) else None
 
 
-_STRICT_CHARACTERS = set("0123456789.,-+()%")
-
-
-def parse_text(text: str) -> float | None:
-    """parse_number for one Python string."""
-    s = text.strip()
-    if not any(c.isdigit() for c in s) or not all(c in _STRICT_CHARACTERS or c.isspace() for c in s):
+def read_cell(cell):
+    """to_num for one Python value. Its source is also the helper of generated queries, so it needs built-ins only."""
+    shown = str(cell).strip()
+    if not any(c.isdigit() for c in shown):
         return None
-    body = s.strip("()").replace(" ", "").rstrip("%")
-    body = body.removeprefix("+")
-    minus = body.startswith("-")
-    body = body.removeprefix("-")
-    commas, dots = body.count(","), body.count(".")
-    if commas and dots:
-        decimal = "," if body.rindex(",") > body.rindex(".") else "."
-    elif commas:
-        grouped = commas > 1 and all(len(g) == 3 for g in body.split(",")[1:])
-        decimal = None if grouped else ","
-    elif dots:
-        grouped = dots > 1 or len(body.split(".")[1]) == 3
-        decimal = None if grouped else "."
-    else:
-        decimal = None
-    for mark in ",.":
-        if mark != decimal:
-            body = body.replace(mark, "")
+    bare = "".join(c for c in shown.strip("()") if c != " ").rstrip("%")
+    bare = bare.removeprefix("+")
+    size = bare.removeprefix("-")
+    marks = [c for c in size if c in ",."]
+    point = marks[-1] if marks else ""
+    if len(set(marks)) == 1:
+        # One kind of mark groups thousands if its groups look like it; a comma has to do so more than once.
+        widths = [len(group) for group in size.split(point)][1:]
+        groups = set(widths) == {3} and len(widths) > 1 if point == "," else widths == [3] or len(widths) > 1
+        point = "" if groups else point
     try:
-        value = float(body.replace(",", "."))
+        value = float("".join("." if c == point else c for c in size if c == point or c not in ",."))
     except ValueError:
         return None
-    return -value if (s.startswith("(") and s.endswith(")")) != minus else value
+    inverted = (shown[0] == "(" and shown[-1] == ")") != (bare != size)
+    return -value if inverted else value
+
+
+_STRICT_CHARACTERS = set("0123456789.,-+()%")
+
+
+def parse_text(text: str) -> float | None:
+    """parse_number for one Python string: read_cell of what is written in a number's characters only."""
+    return read_cell(text) if all(c in _STRICT_CHARACTERS or c.isspace() for c in text.strip()) else None
 
 
 @F.pandas_udf(T.DoubleType())

@@ -60,7 +60,8 @@ def assemble(questions: DataFrame, results: DataFrame, predictions: DataFrame, t
     own = F.get(F.transform(F.filter("cands", lambda c: (c["table_ref"] == F.col("table_ref")) & (c["csv_text"] != "")), lambda c: c["csv_text"]), F.lit(0))
     csv = each.withColumn("own", own).select("id", "table_ref", "own")
     if tables is not None:
-        stored = tables.select("table_ref", F.col("csv_text").alias("stored")).dropDuplicates(["table_ref"])
+        place = F.col("order") if "order" in tables.columns else F.lit(0)
+        stored = tables.join(csv.select("table_ref").distinct(), "table_ref", "left_semi").groupBy("table_ref").agg(F.min_by("csv_text", place).alias("stored"))
         csv = csv.join(stored, "table_ref", "left").select("id", "table_ref", F.coalesce("own", F.nullif("stored", F.lit(""))).alias("own"))
     written = csv.where("own is not null").groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("table_ref", "own"))).alias("written"))
     ready = wanted.join(written, "id", "left").withColumn("written", F.coalesce("written", F.create_map().cast("map<string,string>")))
@@ -97,7 +98,14 @@ def assembly_stats(items: DataFrame, report: DataFrame, assets: DataFrame) -> Da
     """One row of counts."""
     by = report.agg(*[F.count_if(F.col("status") == s).alias(s) for s in ("failed", "fragile_to_default_reader", "mismatch_fixed", "skipped")])
     of = items.agg(F.count("*").alias("items"), F.count_if(F.col("pandas_query") == "").alias("empty_query"))
-    return of.join(by).join(assets.agg(F.count("*").alias("csv_files")))
+    parts = [of, by, assets.agg(F.count("*").alias("csv_files"))]
+    every = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
+    return every.agg(*[F.max(c).alias(c) for part in parts for c in part.columns])
+
+
+def repeated_variables(evidence: Column) -> Column:
+    """How many entries name a variable that an earlier entry has: those that resolved_evidence leaves out."""
+    return F.size(evidence) - F.size(F.array_distinct(F.transform(evidence, lambda e: e["variable"])))
 
 
 def validate(items: DataFrame, expected: DataFrame | None = None, files: DataFrame | None = None) -> DataFrame:

@@ -6,7 +6,6 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.text import csv_file_name, parse_table_ref
@@ -45,6 +44,13 @@ def pending(results: DataFrame, done: DataFrame | None = None, ids: set[int] | N
     return rows if limit is None else rows.orderBy("id").limit(limit)
 
 
+def batches(rows: DataFrame, size: int) -> Iterator[DataFrame]:
+    """Rows in parts of about size by a hash of the id: what is written part by part is lost part by part at most."""
+    count = -(-rows.count() // size)
+    for k in range(count):
+        yield rows.where(F.pmod(F.xxhash64("id"), F.lit(count)) == k) if count > 1 else rows
+
+
 def complete(prompts: DataFrame, start: Callable[[], Callable[[str, str], str]]) -> DataFrame:
     """(id, rung, completion, error) for prompts (id, rungs ARRAY<STRUCT<system,user>>).
 
@@ -110,7 +116,8 @@ def predict(results: DataFrame, config: dict, start: Callable | None = None, stu
 
 def merge_shards(rows: DataFrame, order: Column) -> DataFrame:
     """One row for each id, the last by order."""
-    return rows.withColumn("_k", F.row_number().over(W.partitionBy("id").orderBy(order.desc()))).where("_k = 1").drop("_k")
+    last = rows.groupBy("id").agg(F.max_by(F.struct(*[c for c in rows.columns if c != "id"]), order).alias("_last"))
+    return last.select(*[F.col("id") if c == "id" else F.col(f"_last.{c}").alias(c) for c in rows.columns])
 
 
 def missing_ids(rows: DataFrame, last: int) -> DataFrame:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +14,10 @@ PERIOD_TOKEN = "\\d{1,2}\\s*[/\\-.]\\s*\\d{1,2}\\s*[/\\-.]\\s*\\d{2,4}|\\d{1,2}\
 #: A cell that holds a unit and nothing else.
 UNIT_CELL = "(?iU)^(?:đơn\\s*vị\\s*(?:tính)?\\s*[:\\-]?\\s*)?(?:(?:nghìn\\s+tỷ|nghìn|triệu|tỷ)\\s*)?(?:vnd|đồng|vn\\s*đ|usd|eur|jpy|%)$"
 
+#: Words of a search document: the search sees them, so they change its results.
+COMPANY, CODE_INSIDE, CODE_ALONE, AND_YEAR, AND_SCOPE, AND_REPORT = "Công ty: ", " (mã ", "Mã: ", ", năm ", ", phạm vi ", ", báo cáo "
+BEFORE, NAMES, LABELS = " Ngữ cảnh: ", " Cột: ", ". Dòng: "
+
 _EMPTY = "array<string>"
 
 
@@ -128,13 +130,13 @@ def table_csv(header: Column, rows: Column, max_chars: int | None = None) -> Col
 
 def index_text(company: Column, max_chars: int = 1200) -> Column:
     """What the search reads of a table (columns ticker, year, scope, doc_name, context_before, header, rows)."""
-    who = F.when(F.coalesce(company, F.lit("")) != "", F.concat(F.lit("Công ty: "), company, F.lit(" (mã "), F.col("ticker"), F.lit(")"))).otherwise(F.concat(F.lit("Mã: "), F.col("ticker")))
-    scope = F.when(F.coalesce(F.col("scope"), F.lit("")) != "", F.concat(F.lit(", phạm vi "), F.col("scope"))).otherwise(F.lit(""))
-    head = F.concat(who, F.lit(", năm "), F.coalesce(F.col("year").cast("string"), F.lit("None")), scope, F.lit(", báo cáo "), F.col("doc_name"), F.lit("."))
+    who = F.when(F.coalesce(company, F.lit("")) != "", F.concat(F.lit(COMPANY), company, F.lit(CODE_INSIDE), F.col("ticker"), F.lit(")"))).otherwise(F.concat(F.lit(CODE_ALONE), F.col("ticker")))
+    scope = F.when(F.coalesce(F.col("scope"), F.lit("")) != "", F.concat(F.lit(AND_SCOPE), F.col("scope"))).otherwise(F.lit(""))
+    head = F.concat(who, F.lit(AND_YEAR), F.coalesce(F.col("year").cast("string"), F.lit("None")), scope, F.lit(AND_REPORT), F.col("doc_name"), F.lit("."))
     names = F.array_join(F.filter("header", lambda h: h != ""), " | ")
     words = F.transform(F.slice("rows", 1, 40), lambda r: F.array_join(F.filter(F.slice(r, 1, 3), lambda c: (c != "") & ~label_numeric(c)), " / "))
     labels = F.array_join(F.filter(words, lambda w: w != ""), " | ")
-    body = F.concat(F.lit(" Ngữ cảnh: "), F.col("context_before"), F.lit(" Cột: "), names, F.lit(". Dòng: "), labels)
+    body = F.concat(F.lit(BEFORE), F.col("context_before"), F.lit(NAMES), names, F.lit(LABELS), labels)
     return F.left(F.concat(head, body), F.lit(max_chars))
 
 
@@ -162,6 +164,3 @@ def cells(tables: DataFrame, keys: tuple[str, ...] = ("table_ref",)) -> DataFram
     flat = rows.select(*keys, "header", "row", F.posexplode("_row").alias("col", "value"))
     return flat.select(*keys, "row", "col", F.coalesce(F.get("header", F.col("col")), F.lit("")).alias("col_name"), "value")
 
-
-def any_of(flags: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, flags, F.lit(False))

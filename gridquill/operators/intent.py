@@ -13,6 +13,8 @@ SEPARATE_WORDS = ("congtyme", "baocaorieng", "bctcrieng", "rienngle", "baocaotai
 CONSOLIDATED_WORDS = ("hopnhat", "baocaohopnhat", "bctchn", "toantapdoan")
 #: The company dimension goes to every task only up to this many rows.
 BROADCAST_COMPANIES = 200_000
+#: Characters of an alias that it is looked up by; a shorter alias by all it has.
+ALIAS_KEY = 6
 
 
 def years_of(text: Column) -> Column:
@@ -43,9 +45,9 @@ def question_intent(questions: DataFrame, companies: DataFrame, question_col: st
     """questions (with id) plus tickers, years, scope, ticker_in_parens; arrays are sorted.
 
     Codes in parentheses and bare codes are found by equality with the dimension (words of the question are
-    exploded), aliases by containment, which has no key: the dimension is broadcast up to a size that is checked, and
-    beyond it the same condition runs as a nested loop that Spark splits by partition. A bare code that only is a word
-    of the name of another company matched by name doesn't count.
+    exploded), aliases by containment, keyed by their first characters (runs of that many of the question are exploded).
+    The dimension is broadcast up to a size that is checked; beyond it the same joins run as shuffles. A bare code
+    that only is a word of the name of another company matched by name doesn't count.
     """
     q = F.col(question_col)
     known = companies_with_aliases(companies)
@@ -54,9 +56,14 @@ def question_intent(questions: DataFrame, companies: DataFrame, question_col: st
     words = questions.select("id", q.alias("_q"), F.explode(F.array_distinct(F.filter(F.split(F.upper(q), "[^A-Z0-9]+"), lambda w: w != ""))).alias("ticker"))
     bare = words.join(known.select("ticker"), "ticker").where(F.col("_q").contains(F.col("ticker"))).select("id", "ticker", F.lit("bare").alias("how"))
     inside = questions.select("id", F.explode(codes_in_parens(q)).alias("ticker")).join(known.select("ticker"), "ticker").select("id", "ticker", F.lit("parens").alias("how"))
-    aliases = known.select("ticker", F.explode("aliases").alias("alias")).where("alias <> ''")
+    # A question holds an alias only if it holds the alias's first characters: those are the key of the join.
+    aliases = known.select("ticker", F.explode("aliases").alias("alias")).where("alias <> ''").withColumn("gram", F.left("alias", F.lit(ALIAS_KEY)))
+    sizes = sorted(r.size for r in aliases.select(F.length("gram").alias("size")).distinct().collect())
     compact = questions.select("id", ascii_compact(q).alias("_compact"))
-    named = compact.join(F.broadcast(aliases) if small else aliases, F.col("_compact").contains(F.col("alias"))).select("id", "ticker", F.lit("name").alias("how")).distinct()
+    grams = lambda size: F.transform(F.sequence(F.lit(1), F.greatest(F.length("_compact") - size + 1, F.lit(1))), lambda i: F.substr(F.col("_compact"), i, F.lit(size)))
+    keyed = compact.select("id", "_compact", F.explode(F.array_distinct(F.concat(F.array().cast("array<string>"), *map(grams, sizes)))).alias("gram"))
+    met = keyed.join(F.broadcast(aliases) if small else aliases, "gram").where(F.col("_compact").contains(F.col("alias")))
+    named = met.select("id", "ticker", F.lit("name").alias("how")).distinct()
     every = bare.unionByName(inside).unionByName(named)
     by = every.groupBy("id").agg(
         *[F.array_sort(F.collect_set(F.when(F.col("how") == how, F.col("ticker")))).alias(how) for how in ("bare", "parens", "name")]

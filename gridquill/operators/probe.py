@@ -2,26 +2,41 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.text import strip_parens
 from .intent import question_intent
 
 FRACTIONS = {"p10": 0.10, "p25": 0.25, "p75": 0.75, "p90": 0.90}
+#: Pieces that a group's values are cut into: one window holds about so small a share of them.
+PIECES = 64
 
 
-def percentiles(values: Column) -> list[Column]:
-    """min, p10, p25, median, p75, p90, max. A percentile is the value at index min(n - 1, int(f * n)) of the sorted ones;
-    the median of an even number is the mean of the middle two.
+def percentiles(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """keys, min, p10, p25, median, p75, p90, max of each group. A percentile is the value at index min(n - 1, int(f * n)) of
+    the sorted ones; the median of an even number is the mean of the middle two. Nulls don't count.
 
-    The sorted array is per group: made for a report on questions, not for a corpus.
+    Values are counted first, then cut into pieces at approximate percentiles; counts by piece tell which pieces hold the
+    wanted places, and only there values are put in order. So no task holds a group, and the result is exact.
     """
-    ordered = F.array_sort(F.collect_list(values))
-    n = F.size(ordered)
-    at = lambda f: F.get(ordered, F.least(n - 1, F.floor(F.lit(f) * n).cast("int")))
-    out = [F.min(values).alias("min"), *[at(f).alias(name) for name, f in FRACTIONS.items()], F.median(values).alias("median"), F.max(values).alias("max")]
-    return out
+    valued = rows.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v"))
+    counted = valued.groupBy(*keys, "_v").agg(F.count("*").alias("_n"))
+    marks = counted.groupBy(*keys).agg(F.percentile_approx("_v", [k / PIECES for k in range(1, PIECES)], F.lit(10 * PIECES)).alias("_marks"), F.sum("_n").alias("_total"))
+    one = [F.lit(0).alias("_all")] if not keys else []
+    by = keys or ["_all"]
+    cut = counted.select("*", *one).join(marks.select("*", *one), by).withColumn("_piece", F.size(F.filter("_marks", lambda m: m < F.col("_v"))))
+    pieces = cut.groupBy(*by, "_piece").agg(F.sum("_n").alias("_in"))
+    before = pieces.withColumn("_before", F.sum("_in").over(W.partitionBy(*by).orderBy("_piece")) - F.col("_in"))
+    at = lambda f: F.least(F.col("_total") - 1, F.floor(F.lit(f) * F.col("_total")))
+    places = {"min": F.lit(0), "max": F.col("_total") - 1, "_low": F.floor((F.col("_total") - 1) / 2), "_high": F.floor(F.col("_total") / 2), **{n: at(f) for n, f in FRACTIONS.items()}}
+    wanted = F.array(*[p.cast("long") for p in places.values()])
+    held = cut.select(*by, "_v", "_n", "_total", "_piece").join(before, [*by, "_piece"]).where(F.exists(wanted, lambda p: (p >= F.col("_before")) & (p < F.col("_before") + F.col("_in"))))
+    upto = held.withColumn("_upto", F.col("_before") + F.sum("_n").over(W.partitionBy(*by, "_piece").orderBy("_v")))
+    here = lambda p: F.max(F.when((p >= F.col("_upto") - F.col("_n")) & (p < F.col("_upto")), F.col("_v")))
+    found = upto.groupBy(*by).agg(*[here(p).alias(n) for n, p in places.items()])
+    return found.select(*keys, "min", *FRACTIONS, ((F.col("_low") + F.col("_high")) / 2).alias("median"), "max")
 
 
 def hit_rates(results: DataFrame, known: str = "ticker_in_parens", ks: tuple[int, ...] = (1, 3, 5, 10)) -> DataFrame:
@@ -49,6 +64,15 @@ def extra_tickers(results: DataFrame) -> DataFrame:
     return extra.groupBy("ticker").agg(F.count("*").alias("n"), F.count_if(inside).alias("in_top5"))
 
 
+def wrong_tickers(results: DataFrame, first: int = 5) -> DataFrame:
+    """(ticker, n): codes of the first candidates that the question doesn't ask for, by the number of candidates.
+
+    Only questions with a code in parentheses count, as those say for sure what is right.
+    """
+    shown = results.where(F.size("ticker_in_parens") > 0).select("ticker_in_parens", F.explode(F.slice("candidates", 1, first)).alias("c"))
+    return shown.where(~F.array_contains("ticker_in_parens", F.col("c.ticker"))).groupBy(F.col("c.ticker").alias("ticker")).agg(F.count("*").alias("n"))
+
+
 def report(results: DataFrame) -> DataFrame:
     """One row: questions, empty ones, first scores that are zero, and how often the first hit has the asked year and scope."""
     first = F.get("candidates", F.lit(0))
@@ -61,7 +85,19 @@ def report(results: DataFrame) -> DataFrame:
 
 
 def examples(results: DataFrame, count: int) -> DataFrame:
-    """Evenly strided questions, in order of id. The stride is found by counting, and row numbers by ranges of ids."""
-    step = max(1, results.count() // max(1, count))
-    rows = results.sparkSession.createDataFrame(results.select("id").orderBy("id").rdd.zipWithIndex().map(lambda x: (x[0][0], x[1])), f"id {results.schema['id'].dataType.simpleString()}, _n long")
-    return results.join(rows.where((F.col("_n") % step == 0) & (F.col("_n") < step * count)).select("id"), "id").orderBy("id")
+    """Evenly strided questions, in order of id: those at places 0, step, 2 * step, ... of the sorted ids.
+
+    Places come from counts by range of ids, so one window holds a range.
+    """
+    total = results.count()
+    step = max(1, total // max(1, count))
+    size = max(1024, step)
+    low = results.agg(F.min("id")).first()[0]
+    if low is None:
+        return results
+    ranged = results.select("id", F.floor((F.col("id") - low) / size).alias("_range"))
+    counts = ranged.groupBy("_range").agg(F.count("*").alias("_in"))
+    before = counts.withColumn("_before", F.sum("_in").over(W.orderBy("_range")) - F.col("_in"))
+    place = F.col("_before") + F.row_number().over(W.partitionBy("_range").orderBy("id")) - 1
+    chosen = ranged.join(before, "_range").withColumn("_place", place).where((F.col("_place") % step == 0) & (F.col("_place") < step * count))
+    return results.join(chosen.select("id"), "id", "left_semi").orderBy("id")

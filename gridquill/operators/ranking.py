@@ -72,14 +72,14 @@ def retrieval_results(selected: DataFrame, intents: DataFrame) -> DataFrame:
     return intents.join(nested, F.col("id") == F.col("qid"), "left").select("id", "question", "tickers", "years", "scope", F.coalesce("candidates", F.array().cast(kind)).alias("candidates"))
 
 
-def retrieve(questions: DataFrame, companies: DataFrame, entries: DataFrame, tables: DataFrame, config: dict) -> DataFrame:
-    """Questions to retrieval results: over-fetch by BM25, intent, tiers, payload."""
+def retrieve(questions: DataFrame, companies: DataFrame, entries: DataFrame, tables: DataFrame, config: dict, index=None) -> DataFrame:
+    """Questions to retrieval results: over-fetch by BM25 (over index, or one that is made here for these questions), intent, tiers, payload."""
     from .intent import question_intent
     from .search import build_index, search
 
     r = config["retrieval"]
     intents = question_intent(questions, companies)
-    hits = search(build_index(entries), questions, r["top_k"] * r["fetch_multiplier"])
+    hits = search(index or build_index(entries, asked=questions.select("question")), questions, r["top_k"] * r["fetch_multiplier"])
     meta = intents.select(F.col("id").alias("qid"), F.col("tickers").alias("asked_tickers"), F.col("years").alias("asked_years"), F.col("scope").alias("asked_scope"))
     known = hits.join(entries.withColumnRenamed("table_ref", "id"), "id").withColumnRenamed("id", "table_ref").join(meta, "qid")
     chosen = select_candidates(annotate(known, r["year_expand"]), r["top_k"], r["fallback_quota"])

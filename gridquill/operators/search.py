@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.text import tokenize
+from ..functions.text import let, tokenize
+from ..sources import hadoop
 
 K1, B = 1.5, 0.75
-INDEX_FORMAT, TOKENIZER_FORMAT = 1, 1
+INDEX_FORMAT, TOKENIZER_FORMAT = 2, 1
 #: Query tables of up to this many rows are sent to the postings; larger ones meet them in a shuffle.
 BROADCAST_QUERY_TERMS = 500_000
 
@@ -26,42 +27,103 @@ class Index:
     n: int
     avgdl: float
     tokenizer: str = "words"
+    fingerprint: str = ""
 
     def manifest(self) -> dict:
         """What a stored index must agree in to be used again."""
-        return {"index_format": INDEX_FORMAT, "tokenizer_format": TOKENIZER_FORMAT, "tokenizer": self.tokenizer, "documents": self.n, "avgdl": self.avgdl}
+        return {"index_format": INDEX_FORMAT, "tokenizer_format": TOKENIZER_FORMAT, "tokenizer": self.tokenizer, "fingerprint": self.fingerprint, "documents": self.n, "avgdl": self.avgdl}
 
 
-def term_counts(docs: DataFrame, id_col: str, text_col: str, tokenizer: str = "words") -> DataFrame:
-    """(id, term, tf, dl). Length is known in the row, so counting terms is the only shuffle, and it is by (id, term)."""
+def counted_terms(tokens: Column) -> Column:
+    """ARRAY<STRUCT<term, tf>> of a row's tokens: sorted, equal ones are neighbours, and their runs are counted in place."""
+
+    def runs(s: Column) -> Column:
+        starts = F.array_compact(F.transform(s, lambda w, i: F.when((i == 0) | (w != F.get(s, i - 1)), i)))
+        return let(starts, lambda p: F.transform(p, lambda i, k: F.struct(F.get(s, i).alias("term"), (F.coalesce(F.get(p, k + 1), F.size(s)) - i).alias("tf"))))
+
+    return let(F.array_sort(tokens), runs)
+
+
+def term_counts(docs: DataFrame, id_col: str, text_col: str, tokenizer: str = "words", mark: bool = False) -> DataFrame:
+    """(id, dl, term, tf). All tokens of a row are in that row, so nothing is shuffled.
+
+    With mark every document has one more row, of the empty term, so that documents can be counted by the same rows.
+    """
     tokens = docs.select(F.col(id_col).alias("id"), tokenize(F.col(text_col), tokenizer).alias("t"))
-    return tokens.select("id", F.size("t").alias("dl"), F.explode("t").alias("term")).groupBy("id", "dl", "term").agg(F.count("*").cast("int").alias("tf"))
+    counted = counted_terms(F.col("t"))
+    if mark:
+        counted = F.concat(F.array(F.struct(F.lit("").alias("term"), F.lit(0).alias("tf"))), counted)
+    return tokens.select("id", F.size("t").alias("dl"), F.inline(counted))
+
+
+def term_frequencies(docs: DataFrame, text_col: str, tokenizer: str = "words") -> DataFrame:
+    """(term, df, cf) over all documents; sums are made in each task before the one shuffle, by term."""
+    counted = docs.select(F.inline(counted_terms(tokenize(F.col(text_col), tokenizer))))
+    return counted.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("cf"))
+
+
+def build_index(docs: DataFrame, id_col: str = "table_ref", text_col: str = "index_text", tokenizer: str = "words", asked: DataFrame | None = None) -> Index:
+    """Documents without tokens count in n and in the average length, as documents of length 0.
+
+    asked (one text column) limits postings to the terms of those texts, for an index that answers only them:
+    documents are read once then, and what is kept of them is cached. Without it postings are a plan;
+    save_index makes them a table.
+    """
+    postings = term_counts(docs, id_col, text_col, tokenizer, mark=True)
+    if asked is not None:
+        terms = asked.select(F.explode(tokenize(F.col(asked.columns[0]), tokenizer)).alias("term")).distinct()
+        terms = terms.unionByName(terms.sparkSession.range(1).select(F.lit("").alias("term")))
+        small = terms.limit(BROADCAST_QUERY_TERMS + 1).count() <= BROADCAST_QUERY_TERMS
+        postings = postings.join(F.broadcast(terms) if small else terms, "term", "left_semi").persist()
+    every = postings.where("term = ''")
+    sizes = every.agg(F.count("*").alias("n"), F.coalesce(F.avg("dl"), F.lit(0.0)).alias("avgdl")).first()
+    postings = postings.where("term <> ''")
+    return Index(postings, postings.groupBy("term").agg(F.count("*").alias("df")), every.select("id"), sizes["n"], sizes["avgdl"], tokenizer)
+
+
+_MANIFEST = "index_format int, tokenizer_format int, tokenizer string, fingerprint string, documents long, avgdl double"
 
 
-def build_index(docs: DataFrame, id_col: str = "table_ref", text_col: str = "index_text", tokenizer: str = "words") -> Index:
-    """Documents without tokens count in n and in the average length, as documents of length 0."""
-    postings = term_counts(docs, id_col, text_col, tokenizer)
-    sizes = docs.select(F.size(tokenize(F.col(text_col), tokenizer)).alias("dl")).agg(F.count("*").alias("n"), F.coalesce(F.avg("dl"), F.lit(0.0)).alias("avgdl")).first()
-    terms = postings.groupBy("term").agg(F.count("*").alias("df"))
-    return Index(postings, terms, docs.select(F.col(id_col).alias("id")), sizes["n"], sizes["avgdl"], tokenizer)
+def fingerprint_of(docs: DataFrame, id_col: str = "table_ref", text_col: str = "index_text") -> str:
+    """The same for the same documents in any order: their number, and sums of two hashes of id and text."""
+    halves = [F.sum(F.pmod(F.xxhash64(F.lit(k), id_col, text_col), F.lit(1 << 31))) for k in (1, 2)]
+    return "-".join(str(x or 0) for x in docs.agg(F.count("*"), *halves).first())
 
 
 def save_index(index: Index, path: str) -> None:
-    """Postings and terms as Parquet; postings are in ranges of terms, so a query term reads few files."""
+    """Postings and terms as Parquet; postings are in ranges of terms, so a query term reads few files.
+
+    The manifest is written last: an index without one isn't loaded.
+    """
+    spark = index.postings.sparkSession
+    hadoop.delete(spark, f"{path}/manifest")
     index.postings.repartitionByRange("term").sortWithinPartitions("term").write.mode("overwrite").parquet(f"{path}/postings")
-    index.terms.write.mode("overwrite").parquet(f"{path}/terms")
+    spark.read.parquet(f"{path}/postings").groupBy("term").agg(F.count("*").alias("df")).write.mode("overwrite").parquet(f"{path}/terms")
     index.documents.write.mode("overwrite").parquet(f"{path}/documents")
-    spark = index.postings.sparkSession
-    spark.createDataFrame([tuple(index.manifest().values())], "index_format int, tokenizer_format int, tokenizer string, documents long, avgdl double").write.mode("overwrite").json(f"{path}/manifest")
+    spark.createDataFrame([tuple(index.manifest().values())], _MANIFEST).write.mode("overwrite").json(f"{path}/manifest")
 
 
-def load_index(spark, path: str, tokenizer: str = "words") -> Index | None:
-    """A stored index, or None if its manifest doesn't fit this code and tokenizer."""
-    found = spark.read.schema("index_format int, tokenizer_format int, tokenizer string, documents long, avgdl double").json(f"{path}/manifest").first()
+def load_index(spark, path: str, tokenizer: str = "words", fingerprint: str | None = None) -> Index | None:
+    """A stored index, or None if there is none, or its manifest doesn't fit this code, tokenizer and fingerprint."""
+    if not hadoop.exists(spark, f"{path}/manifest/_SUCCESS"):
+        return None
+    found = spark.read.schema(_MANIFEST).json(f"{path}/manifest").first()
     if found is None or (found["index_format"], found["tokenizer_format"], found["tokenizer"]) != (INDEX_FORMAT, TOKENIZER_FORMAT, tokenizer):
         return None
+    if fingerprint is not None and found["fingerprint"] != fingerprint:
+        return None
     read = spark.read.parquet
-    return Index(read(f"{path}/postings"), read(f"{path}/terms"), read(f"{path}/documents"), found["documents"], found["avgdl"], tokenizer)
+    return Index(read(f"{path}/postings"), read(f"{path}/terms"), read(f"{path}/documents"), found["documents"], found["avgdl"], tokenizer, found["fingerprint"])
+
+
+def stored_index(docs: DataFrame, path: str, id_col: str = "table_ref", text_col: str = "index_text", tokenizer: str = "words", rebuild: bool = False) -> Index:
+    """The index of these documents: the one at path if it was made of them, else a new one, put there."""
+    spark, own = docs.sparkSession, fingerprint_of(docs, id_col, text_col)
+    found = None if rebuild else load_index(spark, path, tokenizer, own)
+    if found is None:
+        save_index(replace(build_index(docs, id_col, text_col, tokenizer), fingerprint=own), path)
+        found = load_index(spark, path, tokenizer, own)
+    return found
 
 
 def search(index: Index, queries: DataFrame, k: int, query_id: str = "id", query_text: str = "question", pad: bool = False) -> DataFrame:

@@ -2,25 +2,25 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from ..operators import assembly, generation, probe, ranking, search
 from ..operators.intent import question_intent, years_of
+from ..sources import hadoop
 from ..streaming.incremental import read_runs, run_new_files
 from .rendered import read
 
 
 def bm25_terms(spark, sf_dir):
     """Document frequency of every term of all documents."""
-    return search.term_counts(read(spark, sf_dir, "documents"), "doc_id", "text").groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("cf"))
+    return search.term_frequencies(read(spark, sf_dir, "documents"), "text")
 
 
 def bm25_topk(spark, sf_dir):
     """The ten best documents for each benchmark item."""
-    index = search.build_index(read(spark, sf_dir, "documents"), "doc_id", "text")
-    hits = search.search(index, read(spark, sf_dir, "benchmark"), 10, "item_id", "text")
+    items = read(spark, sf_dir, "benchmark")
+    index = search.build_index(read(spark, sf_dir, "documents"), "doc_id", "text", asked=items.select("text"))
+    hits = search.search(index, items, 10, "item_id", "text")
     return hits.select(F.col("qid").alias("item_id"), F.col("id").alias("doc_id"), F.round("score", 6).alias("score"), "rank")
 
 
@@ -92,24 +92,30 @@ def missing_orders(spark, sf_dir):
 
 
 def prompt_budget(spark, sf_dir):
-    """By source, how many first documents' texts fit into 20 000 characters, one at least: a running sum."""
+    """By source, how many first documents' texts fit into 20 000 characters, one at least.
+
+    Sums by range of ids say in which range the budget ends; only ranges that begin inside it are summed up row by row.
+    """
     from pyspark.sql import Window as W
 
-    d = read(spark, sf_dir, "documents").select("source", "doc_id", F.length("text").alias("size"))
-    upto = d.withColumn("upto", F.sum("size").over(W.partitionBy("source").orderBy("doc_id").rowsBetween(W.unboundedPreceding, 0)))
+    d = read(spark, sf_dir, "documents").select("source", "doc_id", F.length("text").alias("size"), F.expr("doc_id div 1024").alias("range"))
+    sums = d.groupBy("source", "range").agg(F.sum("size").alias("size"))
+    begins = sums.select("source", "range", (F.sum("size").over(W.partitionBy("source").orderBy("range")) - F.col("size")).alias("before")).where("before <= 20000")
+    upto = d.join(begins, ["source", "range"]).withColumn("upto", F.col("before") + F.sum("size").over(W.partitionBy("source", "range").orderBy("doc_id").rowsBetween(W.unboundedPreceding, 0)))
     return upto.groupBy("source").agg(F.greatest(F.count_if(F.col("upto") <= 20000), F.lit(1)).alias("fit"))
 
 
 def score_percentiles(spark, sf_dir):
     """Percentiles of account balances by segment, by the rule of the reports."""
-    return read(spark, sf_dir, "customer").groupBy("c_mktsegment").agg(*probe.percentiles(F.col("c_acctbal")))
+    return probe.percentiles(read(spark, sf_dir, "customer"), ["c_mktsegment"], "c_acctbal")
 
 
 def hit_rate(spark, sf_dir):
     """Does a document of the item's language lead the search? Languages stand for codes here."""
     d = read(spark, sf_dir, "documents")
-    index = search.build_index(d, "doc_id", "text")
-    hits = search.search(index, read(spark, sf_dir, "benchmark"), 10, "item_id", "text").join(d.select(F.col("doc_id").alias("id"), F.col("lang").alias("ticker")), "id")
+    items = read(spark, sf_dir, "benchmark")
+    index = search.build_index(d, "doc_id", "text", asked=items.select("text"))
+    hits = search.search(index, items, 10, "item_id", "text").join(d.select(F.col("doc_id").alias("id"), F.col("lang").alias("ticker")), "id")
     nested = hits.groupBy("qid").agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "ticker"))), lambda c: F.struct(c["ticker"].alias("ticker"))).alias("candidates"))
     asked = nested.withColumn("ticker_in_parens", F.array(F.lit("en")))
     return probe.hit_rates(asked).select("questions", *[F.round(f"top{k}", 6).alias(f"top{k}") for k in (1, 3, 5, 10)])
@@ -142,8 +148,7 @@ def validate_ids(spark, sf_dir):
 
 def incremental_events(spark, sf_dir):
     """Events read as a stream of new files, twice: the second run finds nothing new."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/gridquill-checkpoints"
-    root = f"{base.rstrip('/')}/events-{uuid.uuid4().hex}"
+    root = hadoop.shared_folder(spark, "events")
     ddl = "event_id long, ts timestamp, user_id long, event_type string, value double, props string"
     for _ in range(2):
         run_new_files(spark, sf_dir, ddl, f"{root}/out", f"{root}/log", lambda d: d.select("event_id", "event_type", "value"), glob="events.parquet")

@@ -135,7 +135,7 @@ def _by_doc():
 def prompts(spark, sf_dir):
     """Prompts for all regions under a budget: how many tables fit, and what the hint says."""
     p = prompt.build_prompts(_results(spark, sf_dir), 4, 6000, 16000)
-    return p.select("id", "n_tables", F.array_join(F.transform("variables", lambda v: v["variable"]), ",").alias("variables"), F.col("user").contains("CỘT ỨNG VỚI KỲ ĐƯỢC HỎI -> .iloc[:, 3]").alias("names_column"), F.col("user").contains("÷ 1.000.000").alias("names_factor"), (F.length("system") + F.length("user") <= 16000).alias("fits"))
+    return p.select("id", "n_tables", F.array_join(F.transform("variables", lambda v: v["variable"]), ",").alias("variables"), F.col("user").contains("read .iloc[:, 3]").alias("names_column"), F.col("user").contains("unit conversion: ÷ 1.000.000").alias("names_factor"), (F.length("system") + F.length("user") <= 16000).alias("fits"))
 
 
 def predictions_and_assembly(spark, sf_dir):

@@ -166,12 +166,11 @@ def cell_lookup(spark, sf_dir):
 def _year_values(spark, sf_dir):
     """Totals by priority (qid) and year (key), looked up in the rendered table; a year's column is found by its name."""
     t = headers.split_header(markup.extract_tables(order_reports(spark, sf_dir)))
-    # One exchange that all three uses below share.
-    long = headers.cells(t).repartition("row")
-    names = long.where("row = 0 and col > 0 and col_name like '%Giá trị%'").select("col", F.regexp_extract("col_name", "Năm (\\d+)", 1).alias("key"))
-    labels = long.where("col = 0").select(F.col("value").alias("qid"))
-    asked = labels.join(F.broadcast(names)).select("qid", "key", F.col("qid").alias("label"), "col", F.lit(1.0).alias("scale"))
-    rows = labels.join(long.select(F.lit(0).alias("table_pos"), "row", "col", "value"))
+    long = headers.cells(t).repartition("table_ref", "row")
+    names = long.where("row = 0 and col > 0 and col_name like '%Giá trị%'").select("table_ref", "col", F.regexp_extract("col_name", "Năm (\\d+)", 1).alias("key"))
+    labels = long.where("col = 0").select("table_ref", "row", F.col("value").alias("qid"))
+    asked = labels.join(names, "table_ref").select("qid", "key", F.col("qid").alias("label"), "col", F.lit(1.0).alias("scale"))
+    rows = long.join(labels, ["table_ref", "row"]).select("qid", F.lit(0).alias("table_pos"), "row", "col", "value")
     return cells.lookup(asked, rows)
 
 

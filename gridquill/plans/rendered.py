@@ -52,18 +52,17 @@ def order_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One text with a table of priorities by years under a header of two tiers: years span two columns each."""
-    by = order_totals(spark, sf_dir)
-    years = by.groupBy("year").count().agg(F.array_sort(F.collect_list("year")).alias("years"))
-    rows = by.groupBy("priority").agg(F.collect_list(F.struct("year", "orders", "total")).alias("cells"))
-    of = lambda y: F.get(F.filter("cells", lambda c: c["year"] == y), F.lit(0))
+    # Totals are a few rows, one for each priority and year, so one row can hold them all.
+    every = order_totals(spark, sf_dir).groupBy().agg(F.array_sort(F.collect_set("year")).alias("years"), F.array_sort(F.collect_set("priority")).alias("priorities"), F.collect_list(F.struct("priority", "year", "orders", "total")).alias("cells"))
+    of = lambda p, y: F.get(F.filter("cells", lambda c: (c["priority"] == p) & (c["year"] == y)), F.lit(0))
     cell = lambda x: F.concat(F.lit("<td>"), F.coalesce(x, F.lit("")), F.lit("</td>"))
-    lines = rows.join(years).select("priority", "years", F.concat(
-        F.lit("<tr>"), cell(F.col("priority")), F.array_join(F.transform("years", lambda y: F.concat(cell(of(y)["orders"].cast("string")), cell(format_vn(of(y)["total"])))), ""), F.lit("</tr>"),
-    ).alias("line"))
-    body = lines.groupBy("years").agg(F.array_sort(F.collect_list(F.struct("priority", "line"))).alias("x"))
+    line = lambda p: F.concat(
+        F.lit("<tr>"), cell(p), F.array_join(F.transform("years", lambda y: F.concat(cell(of(p, y)["orders"].cast("string")), cell(format_vn(of(p, y)["total"])))), ""), F.lit("</tr>"),
+    )
+    body = every.where(F.size("years") > 0)
     head = F.concat(
         F.lit('<tr><th rowspan="2">Ưu tiên</th>'), F.array_join(F.transform("years", lambda y: F.concat(F.lit('<th colspan="2">Năm '), y.cast("string"), F.lit("</th>"))), ""), F.lit("</tr><tr>"),
         F.array_join(F.transform("years", lambda y: F.lit("<th>Số đơn</th><th>Giá trị đồng</th>")), ""), F.lit("</tr>"),
     )
-    text = F.concat(F.lit("===== PAGE 7 =====\nĐơn hàng theo năm\n<table>"), head, F.array_join(F.transform("x", lambda v: v["line"]), ""), F.lit("</table>\n"))
+    text = F.concat(F.lit("===== PAGE 7 =====\nĐơn hàng theo năm\n<table>"), head, F.array_join(F.transform("priorities", line), ""), F.lit("</table>\n"))
     return body.select(F.lit("ORD_DonHang_2024_separate").alias("doc_name"), F.lit("ORD").alias("ticker"), F.lit(2024).alias("year"), F.lit("separate").alias("scope"), text.alias("text"))

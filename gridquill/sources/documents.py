@@ -10,6 +10,8 @@ from ..functions.text import ascii_compact, contains_any
 from ..operators.intent import MAX_YEAR, MIN_YEAR
 
 SUFFIX = "_extracted.txt"
+#: Files that are picked by name, their names on the driver as those of a listing are.
+PICKED_FILES = 10_000
 #: Kind of report by compact document name.
 CONSOLIDATED_NAMES = ("consolidated", "hopnhat", "bctchn")
 SEPARATE_NAMES = ("separate", "rieng", "congtyme")
@@ -50,25 +52,46 @@ def decode(content: Column) -> Column:
     return F.regexp_replace(F.decode(content, "UTF-8"), "\\r\\n?", "\n")
 
 
+def _files(spark: SparkSession, root: str, glob: str) -> DataFrame:
+    return spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(root)
+
+
 def list_documents(spark: SparkSession, root: str, glob: str = "*.txt") -> DataFrame:
-    """Metadata of the files below root, without their contents: path, size, modified, doc_name, ticker, year, scope.
+    """Metadata of the files below root, without their contents: uri, path, size, modified, doc_name, ticker, year, scope.
 
-    Of files with one document name the first by path counts.
+    Of files with one document name the first by path counts. uri is the file's name to Spark, path is plain.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(root)
     plain = F.regexp_replace("path", "^file:/+", "/")
     base = root.removeprefix("file://")
-    named = files.select(plain.alias("path"), F.col("length").alias("size"), F.col("modificationTime").alias("modified")).withColumn("doc_name", doc_name_of(F.col("path")))
+    named = _files(spark, root, glob).select(
+        F.col("_metadata.file_path").alias("uri"), plain.alias("path"), F.col("length").alias("size"), F.col("modificationTime").alias("modified")
+    ).withColumn("doc_name", doc_name_of(F.col("path")))
     first = named.withColumn("_n", F.row_number().over(W.partitionBy("doc_name").orderBy("path"))).where("_n = 1").drop("_n")
-    return first.select("path", "size", "modified", "doc_name", ticker_of(F.col("path"), base).alias("ticker"), year_of(F.col("path"), F.col("doc_name")).alias("year"), scope_of_name(F.col("doc_name")).alias("scope"))
+    return first.select("uri", "path", "size", "modified", "doc_name", ticker_of(F.col("path"), base).alias("ticker"), year_of(F.col("path"), F.col("doc_name")).alias("year"), scope_of_name(F.col("doc_name")).alias("scope"))
+
+
+def read_texts(spark: SparkSession, root: str, chosen: DataFrame, glob: str = "*.txt") -> DataFrame:
+    """chosen (with uri) and the text of each file.
+
+    Up to PICKED_FILES files are picked by name when the scan is planned, so contents of others aren't read. More
+    are most of the tree: then the files that aren't chosen are taken out, or those that are kept, whichever are fewer.
+    """
+    files = _files(spark, root, glob)
+    uri = F.col("_metadata.file_path")
+    picked = [r.uri for r in chosen.select("uri").limit(PICKED_FILES + 1).collect()]
+    if len(picked) <= PICKED_FILES:
+        texts = files.where(uri.isin(picked)).select(uri.alias("uri"), decode(F.col("content")).alias("text"))
+        return texts.join(F.broadcast(chosen), "uri")
+    texts = files.select(uri.alias("uri"), decode(F.col("content")).alias("text"))
+    others = files.select(uri.alias("uri")).join(chosen.select("uri"), "uri", "left_anti")
+    if others.limit(PICKED_FILES + 1).count() <= PICKED_FILES:
+        texts = texts.join(F.broadcast(others), "uri", "left_anti")
+    return texts.join(chosen, "uri")
 
 
 def scan_documents(spark: SparkSession, root: str, glob: str = "*.txt") -> DataFrame:
-    """list_documents with the text. Contents are joined to the chosen paths, so only those are decoded."""
-    chosen = list_documents(spark, root, glob)
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(root)
-    texts = files.select(F.regexp_replace("path", "^file:/+", "/").alias("path"), decode(F.col("content")).alias("text"))
-    return texts.join(chosen, "path").select("doc_name", "ticker", "year", "scope", "path", "size", "modified", "text")
+    """list_documents with the text."""
+    return read_texts(spark, root, list_documents(spark, root, glob), glob).select("doc_name", "ticker", "year", "scope", "path", "size", "modified", "text")
 
 
 def sorted_documents(docs: DataFrame) -> DataFrame:

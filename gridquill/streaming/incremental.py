@@ -38,10 +38,3 @@ def latest(rows: DataFrame, keys: list[str]) -> DataFrame:
     newest = rows.groupBy(*keys).agg(F.max("batch").alias("batch"))
     return rows.join(newest, [*keys, "batch"], "left_semi")
 
-
-def stream_extract(docs: DataFrame) -> DataFrame:
-    """Table extraction over a stream or a batch of documents: it keeps no state between rows."""
-    from ..operators.headers import split_header
-    from ..operators.markup import extract_tables
-
-    return split_header(extract_tables(docs))

@@ -76,8 +76,8 @@ def test_budget_drops_last_tables(spark):
     n = lambda budget: {x.id: x.n_tables for x in prompt.build_prompts(r, 4, None, budget).collect()}
     assert n(None) == {1: 4, 2: 0} and n(6500) == {1: 2, 2: 0} and n(10) == {1: 1, 2: 0}
     built = {x.id: x for x in prompt.build_prompts(r, 2, 50, 16000).collect()}
-    assert "(không có bảng nào được truy hồi)" in built[2].user and 'table_ref="AAA_2020|1"' in built[1].user and [v.variable for v in built[1].variables] == ["df1", "df2"]
-    assert "- Đơn vị đáp án: triệu đồng" in built[1].user and "{{" not in built[1].user and built[1].user.count("x,1") < 30
+    assert prompt.NO_TABLES in built[2].user and 'source="AAA_2020|1"' in built[1].user and [v.variable for v in built[1].variables] == ["df1", "df2"]
+    assert "* unit of the answer: triệu đồng;" in built[1].user and "{{" not in built[1].user and built[1].user.count("x,1") < 30
 
 
 def test_quota_keeps_a_wrong_ticker(spark):

@@ -106,3 +106,51 @@ def test_new_files_are_added_once(spark, tmp_path):
     rows = read_runs(spark, f"{tmp_path}/out")
     assert sorted((r.k, r.w) for r in rows.collect()) == [("x", 2), ("x", 10), ("y", 4)]
     assert sorted((r.k, r.w) for r in latest(rows, ["k"]).collect()) == [("x", 10), ("y", 4)]
+
+
+def test_changed_documents_only_are_extracted_again(spark, tmp_path):
+    """Two documents of one company: one is edited, then one is removed; the cache equals a full rebuild each time."""
+    from gridquill.operators import headers, markup
+    from gridquill.sources.cache import TableCache
+
+    root, body = tmp_path / "fs", "x\n<table><tr><td>a</td><td>{}</td></tr></table>\n"
+    for name, value in (("D1_2020", 1), ("D2_2021", 2), ("notable_2021", None)):
+        report(root, "aaa", 2020, name, body.format(value) if value else "no table")
+    cache, read = TableCache(spark, f"{tmp_path}/cache"), []
+
+    def extract(docs):
+        read.append(sorted(r.doc_name for r in docs.select("doc_name").collect()))
+        return headers.split_header(markup.extract_tables(docs))
+
+    def run():
+        listed = documents.list_documents(spark, str(root))
+        number = cache.update(listed, extract, str(root))
+        return number, sorted((r.doc_name, r.grid[0][1]) for r in cache.tables(listed).collect())
+
+    assert run() == (1, [("D1_2020", "1"), ("D2_2021", "2")]) and run()[0] is None
+    (root / "aaa/2020/D2_2021/D2_2021_extracted.txt").write_text(body.format(22), encoding="utf-8")
+    assert run() == (2, [("D1_2020", "1"), ("D2_2021", "22")])
+    (root / "aaa/2020/D1_2020/D1_2020_extracted.txt").unlink()
+    assert run() == (None, [("D2_2021", "22")])
+    assert read == [["D1_2020", "D2_2021", "notable_2021"], ["D2_2021"]]
+
+
+def test_later_predictions_win(spark, tmp_path):
+    from gridquill import schema
+
+    row = lambda k, answer: spark.createDataFrame([(k, "", answer, [], [], True, None, None)], schema.PREDICTIONS)
+    for n in range(12):
+        assert files.append_predictions(row(1, float(n)).union(row(2, -float(n))).repartition(3), f"{tmp_path}/p") == n + 1
+    got = {r.id: r.answer for r in files.read_predictions(spark, f"{tmp_path}/p").collect()}
+    assert got == {1: 11.0, 2: -11.0} and sorted(r.id for r in files.existing_ids(spark, f"{tmp_path}/p").collect()) == [1, 2]
+    files.append_predictions(row(1, 0.5), f"{tmp_path}/shard")
+    both = files.read_predictions(spark, [f"{tmp_path}/p", f"{tmp_path}/shard"])
+    assert {r.id: r.answer for r in both.collect()} == {1: 0.5, 2: -11.0}
+
+
+def test_strict_json_looks_into_arrays(spark, tmp_path):
+    (tmp_path / "a.jsonl").write_text('{"id": 1, "c": [{"x": 1}, {"x": 2}]}\n')
+    (tmp_path / "b.jsonl").write_text('{"id": 1, "c": [{"x": 1}, {"x": 2, "z": 3}]}\n')
+    assert files.read_strict(spark, f"{tmp_path}/a.jsonl", "id int, c array<struct<x:int>>").count() == 1
+    with pytest.raises(Exception, match="unknown field: z"):
+        files.read_strict(spark, f"{tmp_path}/b.jsonl", "id int, c array<struct<x:int>>").collect()

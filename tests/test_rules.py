@@ -107,7 +107,7 @@ def test_settings(tmp_path):
 
 
 def test_percentile_rule(spark):
-    d = spark.createDataFrame([(x,) for x in (4.0, 1.0, 3.0, 2.0)], "x double").agg(*probe.percentiles(F.col("x"))).first()
+    d = probe.percentiles(spark.createDataFrame([(x,) for x in (4.0, 1.0, 3.0, 2.0, None)], "x double"), [], "x").first()
     assert (d.min, d.p10, d.p25, d.median, d.p75, d.p90, d.max) == (1.0, 1.0, 2.0, 2.5, 4.0, 4.0, 4.0)
 
 

@@ -35,9 +35,9 @@ def _escape_role(role: Column) -> Column:
 
 
 def _unescape_role(role: Column) -> Column:
-    # A pair of backslashes is set aside as NUL-free marker first: U+FFFF is not a character.
-    whole = F.replace(unescape(role), F.lit("\\\\"), F.lit("￿"))
-    return F.replace(F.replace(whole, F.lit("\\n"), F.lit("\n")), F.lit("￿"), F.lit("\\"))
+    # Between pairs of backslashes, taken from the left, a backslash only stands in an escaped line feed.
+    pieces = F.split(unescape(role), r"\\\\", -1)
+    return F.array_join(F.transform(pieces, lambda p: F.replace(p, F.lit("\\n"), F.lit("\n"))), "\\")
 
 
 def _render(turns: Column, text_of) -> Column:

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-import gc
+import atexit
 import os
-import tempfile
-import time
-import uuid
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..sources import hadoop
 
 #: Word characters of every word count and shingle here: all but ASCII white space.
 WORD_PATTERN = "[^\\x20\\x09-\\x0D]+"
@@ -40,18 +41,15 @@ def workers_see_package(spark: SparkSession) -> None:
 class Scratch:
     """Intermediate tables as Parquet in the folder that the cluster names in spark.checkpoint.dir.
 
-    Writing a table cuts the lineage: lost executors cost the running step only. Where the
-    setting is absent (tests on one machine) a temporary folder takes its place.
+    Writing a table cuts the lineage: lost executors cost the running step only. A cluster without that setting
+    is an error; on one machine (tests) its temporary folder takes the setting's place. Results are plans
+    over these tables, so the tables stay until clear() or the end of the driver's program.
     """
 
     def __init__(self, spark: SparkSession, label: str):
-        base = spark.conf.get("spark.checkpoint.dir", None)
-        if not base:
-            base = f"{tempfile.gettempdir()}/gridquill-checkpoints"
-            spark.conf.set("spark.checkpoint.dir", base)
         workers_see_package(spark)
-        self.spark, self.root = spark, f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
-        self.count = 0
+        self.spark, self.root, self.count = spark, hadoop.shared_folder(spark, label), 0
+        atexit.register(self.clear)
 
     def table(self, df: DataFrame, name: str = "t") -> DataFrame:
         self.count += 1
@@ -62,22 +60,60 @@ class Scratch:
         return kept
 
     def drop(self, *tables: DataFrame) -> None:
-        """Delete tables that no later step reads, and let Spark free unreferenced shuffles."""
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        """Delete tables that no later step reads."""
         for df in tables:
-            path = jvm.org.apache.hadoop.fs.Path(df._scratch_path)
-            path.getFileSystem(conf).delete(path, True)
-
-    def free_shuffles(self) -> None:
-        """Shuffle files go when the driver's JVM collects their handles; ask for that between steps.
-
-        One collection lets go of what Python held, the next of the handles, and Spark's cleaner needs a moment.
-        """
-        for _ in range(3):
-            gc.collect()
-            self.spark.sparkContext._jvm.System.gc()
-            time.sleep(0.2)
+            hadoop.delete(self.spark, df._scratch_path)
+
+    def clear(self) -> None:
+        """Delete all tables."""
+        if self.count and self.spark.sparkContext._jsc is not None:
+            hadoop.delete(self.spark, self.root)
+
+
+#: A table goes to every task only below this size.
+BROADCAST_BYTES = 32 << 20
+
+
+def fits(df: DataFrame, most: int = BROADCAST_BYTES) -> bool:
+    """Are the rows, at 16 bytes and what their values take, below most bytes? A few more rows than could fit are looked at."""
+    sizes = F.lit(16 + 8 * len(df.columns))
+    for field in df.schema.fields:
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            sizes = sizes + F.coalesce(F.octet_length(F.col(f"`{field.name}`")), F.lit(0))
+        elif isinstance(field.dataType, T.ArrayType):
+            sizes = sizes + 8 * F.greatest(F.size(F.col(f"`{field.name}`")), F.lit(0))
+    seen = df.select(sizes.cast("long").alias("b")).limit(most // 24 + 1).agg(F.coalesce(F.sum("b"), F.lit(0))).first()[0]
+    return seen <= most
+
+
+def small(df: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
+    """df to be broadcast if it fits, else as it is: joins then shuffle."""
+    return F.broadcast(df) if fits(df, most) else df
+
+
+def hashed_rows(rows: DataFrame, scratch: Scratch, seed: int) -> DataFrame:
+    """rows (doc_id, text, source, others) with skey and h, a hash that no two rows of a source share but by chance.
+
+    h comes from the id. Rows of one source that share an id are hashed by their text too, and equal ones by
+    their number among each other, so null and repeated ids are spread like others. Numbers come from counts
+    by file of a written table and places inside a file: no task sees all copies of a row.
+    """
+    keyed = rows.withColumns({"skey": source_key(F.col("source")), "h": hash60(F.lit(seed), F.col("doc_id"))})
+    again = scratch.table(keyed.groupBy("skey", "h").agg(F.count("*").alias("n")).where("n > 1").select("skey", "h"), "repeated")
+    if not again.limit(1).count():
+        return keyed
+    again = small(again)
+    text = F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
+    repeated = scratch.table(keyed.join(again, ["skey", "h"], "left_semi").withColumn("_text", text), "rows")
+    placed = repeated.select("*", F.col("_metadata.file_path").alias("_file"))
+    key = ["skey", "h", "_text"]
+    counts = placed.groupBy(*key, "_file").agg(F.count("*").alias("_n"))
+    before = counts.select(*key, "_file", (F.sum("_n").over(W.partitionBy(*key).orderBy("_file")) - F.col("_n")).alias("_before"))
+    place = F.row_number().over(W.partitionBy(*key, "_file").orderBy(F.lit(0))) - 1
+    numbered = placed.withColumn("_place", place).join(before, [*key, "_file"])
+    told = numbered.withColumn("h", hash60(F.col("h"), F.col("_text"), F.col("_before") + F.col("_place")))
+    single = keyed.join(again, ["skey", "h"], "left_anti")
+    return single.unionByName(told.select(*single.columns))
 
 
 def hash60(*cols: Column) -> Column:

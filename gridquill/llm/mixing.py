@@ -13,106 +13,109 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import WORD_PATTERN, Scratch, hash60, read_table, source_key
+from .common import WORD_PATTERN, Scratch, fits, hashed_rows, read_table, small
 
 HASH_BITS, LEVEL_BITS = 60, 12
-#: Bound of what is collected and broadcast: a few numbers for each source.
-MAX_SOURCES = 100_000
+#: Where the plan of the sources is too large to broadcast, a source's rows are dealt to this many tasks by their hash.
+DEAL = 64
 
 
-def water_fill(sizes: dict[str, int], weights: dict[str, float], budget: float, most_epochs: int) -> dict[str, float]:
-    """Budget shared by weight, none above most_epochs times its size; what a full one can't take is reshared.
+def shares(totals: DataFrame, budget: float | None, most_epochs: int) -> DataFrame:
+    """totals (skey, n, weight) with target: the budget shared by weight, none above most_epochs times n.
 
-    Sources fill up in the order of cap / weight; the level is what the open ones get for a unit of weight.
+    What a full source can't take is reshared. Sources fill up in the order of cap / weight; the level is
+    what the open ones get for a unit of weight. Two windows run over one row for each source, in a stream;
+    nothing but two numbers reaches the driver.
     """
-    names = sorted((n for n in sizes if weights[n] > 0), key=lambda n: (most_epochs * sizes[n] / weights[n], n))
-    left, weight, out = budget, sum(weights[n] for n in names), {n: 0.0 for n in sizes}
-    for k, n in enumerate(names):
-        if most_epochs * sizes[n] / weights[n] > left / weight:
-            return out | {m: left / weight * weights[m] for m in names[k:]}
-        out[n] = float(most_epochs * sizes[n])
-        left, weight = left - most_epochs * sizes[n], weight - weights[n]
-    return out
+    budget = float(totals.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]) if budget is None else budget
+    open_ones = totals.where("weight > 0").withColumn("cap", F.col("n") * most_epochs).withColumn("ratio", F.col("cap") / F.col("weight"))
+    upto = W.orderBy("ratio", "skey").rowsBetween(W.unboundedPreceding, 0)
+    weight = open_ones.agg(F.coalesce(F.sum("weight"), F.lit(0.0)).cast("double")).first()[0]
+    filled = open_ones.withColumn("left", F.lit(budget) - (F.sum("cap").over(upto) - F.col("cap"))).withColumn("weights", F.lit(weight) - (F.sum("weight").over(upto) - F.col("weight")))
+    edge = filled.where(F.col("ratio") > F.col("left") / F.col("weights")).agg(F.min_by(F.col("left") / F.col("weights"), F.struct("ratio", "skey"))).first()[0]
+    cap = (F.col("n") * most_epochs).cast("double")
+    target = cap if edge is None else F.least(cap, F.lit(edge) * F.col("weight"))
+    return totals.withColumn("target", F.when(F.col("weight") > 0, target).otherwise(0.0))
 
 
 def mix(docs: DataFrame, scratch: Scratch, **how) -> DataFrame:
     """Which documents a mix takes and how often.
 
-    docs: doc_id, source, text; other columns are ignored. weights: source key -> weight, by default
-    1, 2, 3 repeating over the sources in the order of code points, null last. budget: words, by
-    default all. A document's size is its number of words; null and empty texts have none and are
-    taken with their hash like others. Repeated rows share a hash and go in or out together. A null
-    doc_id is an empty id. No rows: no rows out. Sources are told apart with null as one of them;
-    more than MAX_SOURCES raise an error.
+    docs: doc_id, source, text; other columns are ignored. weights: (skey, weight) by common.source_key, by default
+    1, 2, 3 repeating over the sources in the order of code points, null last; a source that it leaves out weighs
+    nothing. budget: words, by default all. A document's size is its number of words; null and empty texts have none and
+    are taken with their hash like others. Null and repeated ids, and repeated rows, are rows like others: each is
+    taken or not by a hash of its own. No rows: no rows out. Null is a source of its own. Any number of sources.
 
     Returns doc_id, source, size, h, source_size, target, copies (times the document is taken).
     """
     sized, plan = thresholds(docs, scratch, **how)
-    return sized.join(F.broadcast(plan), "skey").select(
+    return planned(sized, plan).select(
         "doc_id", "source", "size", "h", "source_size", "target", (F.col("epochs") + (F.col("h") <= F.col("upto")).cast("int")).alias("copies")
     )
 
 
-def thresholds(docs: DataFrame, scratch: Scratch, weights=None, budget: float | None = None, most_epochs: int = 3, seed: int = 7) -> tuple[DataFrame, DataFrame]:
+def planned(rows: DataFrame, plan: DataFrame) -> DataFrame:
+    """rows (skey, h) with their source's plan. A plan that doesn't fit a broadcast is dealt, so that a large source is split."""
+    if fits(plan):
+        return rows.join(F.broadcast(plan), "skey")
+    dealt = plan.withColumn("_deal", F.explode(F.sequence(F.lit(0), F.lit(DEAL - 1))))
+    return rows.withColumn("_deal", F.pmod("h", F.lit(DEAL)).cast("int")).join(dealt, ["skey", "_deal"]).drop("_deal")
+
+
+def thresholds(docs: DataFrame, scratch: Scratch, weights: DataFrame | None = None, budget: float | None = None, most_epochs: int = 3, seed: int = 7) -> tuple[DataFrame, DataFrame]:
     """(documents with size, hash and source key; a plan with whole epochs and hash threshold of each source)."""
-    spark = docs.sparkSession
-    sized = docs.select(
-        "doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD_PATTERN)), F.lit(0)).cast("long").alias("size"),
-        hash60(F.lit(seed), F.col("doc_id")).alias("h"), source_key(F.col("source")).alias("skey"),
-    )
-    sized = scratch.table(sized, "sizes")
-    totals = sized.groupBy("skey").agg(F.sum("size").alias("n")).limit(MAX_SOURCES + 1).collect()
-    if len(totals) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources")
-    sizes = {r.skey: r.n for r in totals}
-    names = sorted(sizes)
-    weights = weights or {n: 1 + k % 3 for k, n in enumerate(names)}
-    targets = water_fill(sizes, weights, float(sum(sizes.values())) if budget is None else budget, most_epochs)
-    epochs = {n: int(targets[n] // sizes[n]) if sizes[n] else 0 for n in names}
-    state = {n: {"rest": targets[n] - epochs[n] * sizes[n], "prefix": 0, "before": 0} for n in names}
-    limits = {n: -1 for n in names if state[n]["rest"] <= 0}
-    open_names = [n for n in names if n not in limits]
-    level = 0
-    while open_names:
-        level += 1
+    hashed = hashed_rows(docs.select("doc_id", "source", "text"), scratch, seed)
+    size = F.coalesce(F.regexp_count("text", F.lit(WORD_PATTERN)), F.lit(0)).cast("long")
+    sized = scratch.table(hashed.select("doc_id", "source", size.alias("size"), "h", "skey"), "sizes")
+    totals = sized.groupBy("skey").agg(F.sum("size").alias("n"))
+    if weights is None:
+        # UTF-8 bytes sort as code points do.
+        totals = totals.withColumn("weight", (F.pmod(F.row_number().over(W.orderBy(F.col("skey").cast("binary"))) - 1, F.lit(3)) + 1).cast("double"))
+    else:
+        totals = totals.join(weights.select("skey", F.col("weight").cast("double").alias("weight")), "skey", "left").na.fill(0.0, ["weight"])
+    totals = scratch.table(totals, "totals")
+    epochs = F.when(F.col("n") > 0, F.floor(F.col("target") / F.col("n"))).otherwise(0).cast("int")
+    plan = shares(totals, budget, most_epochs).select("skey", F.col("n").alias("source_size"), "target", epochs.alias("epochs"))
+    plan = scratch.table(plan.withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size")), "targets")
+    state = plan.where("rest > 0").select("skey", "rest", F.lit(0).cast("long").alias("prefix"), F.lit(0).cast("long").alias("before"))
+    none, all_of_it = F.lit(-1).cast("long"), F.lit((1 << HASH_BITS) - 1).cast("long")
+    settled = plan.where("not rest > 0").select("skey", none.alias("upto"))
+    for level in range(1, HASH_BITS // LEVEL_BITS + 1):
         shift = HASH_BITS - LEVEL_BITS * level
-        ask = spark.createDataFrame([(n, float(state[n]["rest"]), state[n]["prefix"], state[n]["before"]) for n in open_names], "skey string, rest double, prefix long, before long")
-        inside = sized.join(F.broadcast(ask), "skey").where(F.shiftright("h", shift + LEVEL_BITS) == F.col("prefix"))
-        counts = inside.groupBy("skey", F.shiftright("h", shift).alias("bucket")).agg(F.sum("size").alias("n"), F.min("h").alias("lo"), F.max("h").alias("hi"), F.first("rest").alias("rest"), F.first("before").alias("before"))
+        bucketed = sized.select("skey", "size", "h", F.shiftright("h", shift).alias("bucket"))
+        if level > 1:
+            # Only the boundary buckets are read on: a small part of every source.
+            bucketed = bucketed.withColumn("prefix", F.shiftright("bucket", LEVEL_BITS)).join(small(state.select("skey", "prefix")), ["skey", "prefix"], "left_semi")
+        counts = bucketed.groupBy("skey", "bucket").agg(F.sum("size").alias("n"), F.min("h").alias("lo"), F.max("h").alias("hi")).join(small(state), "skey")
         # One source has 2**LEVEL_BITS buckets at most, so its window is small whatever the input.
         upto = counts.withColumn("upto", F.col("before") + F.sum("n").over(W.partitionBy("skey").orderBy("bucket")))
         edge = upto.where(F.col("upto") > F.col("rest")).groupBy("skey").agg(F.min_by(F.struct("bucket", "n", "upto", "lo", "hi"), "bucket").alias("b"))
-        found = {r.skey: r.b for r in edge.collect()}
-        still = []
-        for n in open_names:
-            b = found.get(n)
-            if b is None:  # the whole source fits
-                limits[n] = (1 << HASH_BITS) - 1
-            elif b.lo == b.hi:
-                below = b.upto - b.n
-                limits[n] = b.hi if b.upto - state[n]["rest"] < state[n]["rest"] - below else b.lo - 1
-            else:
-                state[n] |= {"prefix": b.bucket, "before": b.upto - b.n}
-                still.append(n)
-        open_names = still
-    plan = spark.createDataFrame(
-        [(n, sizes[n], float(targets[n]), epochs[n], limits[n]) for n in names], "skey string, source_size long, target double, epochs int, upto long"
-    )
-    return sized, plan
+        below = F.col("b.upto") - F.col("b.n")
+        nearer = F.when(F.col("b.upto") - F.col("rest") < F.col("rest") - below, F.col("b.hi")).otherwise(F.col("b.lo") - 1)
+        found = state.join(edge, "skey", "left").select(
+            "skey", "rest", F.col("b.bucket").alias("prefix"), below.alias("before"),
+            # A source without a boundary fits as a whole; a bucket of one hash ends the search.
+            F.when(F.col("b").isNull(), all_of_it).when(F.col("b.lo") == F.col("b.hi"), nearer).alias("upto"),
+        )
+        found = scratch.table(found, f"level{level}")
+        settled = settled.unionByName(found.where("upto is not null").select("skey", "upto"))
+        state = found.where("upto is null").drop("upto")
+        if not state.limit(1).count():
+            break
+    return sized, scratch.table(plan.drop("rest").join(settled, "skey"), "plan")
 
 
 def repeat(docs: DataFrame, scratch: Scratch, most_epochs: int = 3, seed: int = 7, **how) -> DataFrame:
     """docs with every row as often as the mix takes it; columns stay.
 
-    Rows find their copies by source and hash threshold again, without a join by id, so null and repeated
-    ids do no harm.
+    Rows find their copies by source and hash again, without a join by id, so null and repeated ids do no harm.
     """
     plan = thresholds(docs, scratch, most_epochs=most_epochs, seed=seed, **how)[1]
-    keyed = docs.withColumn("_h", hash60(F.lit(seed), F.col("doc_id"))).withColumn("_skey", source_key(F.col("source")))
-    named = plan.select(F.col("skey").alias("_skey"), F.col("epochs").alias("_epochs"), F.col("upto").alias("_upto"))
-    taken = keyed.join(F.broadcast(named), "_skey").withColumn("_copies", F.col("_epochs") + (F.col("_h") <= F.col("_upto")).cast("int"))
-    wanted = taken.where("_copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-    return wanted.select(*docs.columns)
+    # Other columns travel as one, so that none clashes with what is added.
+    row = docs.select(F.struct(*docs.columns).alias("_row"), "doc_id", "text", "source")
+    taken = planned(hashed_rows(row, scratch, seed), plan).withColumn("_copies", F.col("epochs") + (F.col("h") <= F.col("upto")).cast("int"))
+    return taken.where("_copies > 0").select("_row", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select("_row.*")
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -122,10 +125,12 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP3_SQL = r"""
 WITH d AS (
-  SELECT doc_id, CASE WHEN source IS NULL THEN 't' ELSE 's' || source END AS skey,
-    coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
-    ('0x' || substr(md5('7:' || coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS h
-  FROM documents
+  SELECT doc_id, skey, size, CASE WHEN same > 1 THEN ('0x' || substr(md5(h || ':' || m || ':' || place), 1, 15))::BIGINT ELSE h END AS h FROM (
+    SELECT *, count(*) OVER (PARTITION BY skey, h) AS same, row_number() OVER (PARTITION BY skey, h, m) - 1 AS place FROM (
+      SELECT doc_id, CASE WHEN source IS NULL THEN 't' ELSE 's' || source END AS skey, md5(coalesce(text, '')) AS m,
+        coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
+        ('0x' || substr(md5('7:' || coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS h
+      FROM documents))
 ), s AS (
   SELECT skey, sum(size)::BIGINT AS n, 1 + (row_number() OVER (ORDER BY encode(skey)) - 1) % 3 AS w FROM d GROUP BY skey
 ), o AS (

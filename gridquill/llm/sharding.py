@@ -13,69 +13,85 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import Scratch, hash60, read_table, source_key
+from .common import Scratch, hashed_rows, read_table, small
 
 #: Rows that one window sorts, on average.
-BUCKET_ROWS = 2_048
-#: Phases are multiples of 1 / STEPS. Products of rows, buckets and steps stay below 2**63 up to some 1e10 rows.
+BUCKET_ROWS = 32_768
+#: Ranges of the hash in which rows are counted: the most buckets of a source.
+RANGE_BITS = 16
+#: Phases are multiples of 1 / STEPS. Products of rows, buckets and steps stay below 2**63 up to 1e11 rows.
 STEPS = 16
+#: Numbers that one row of a sequence is spread out from.
+BLOCK = 4_096
 
 
 def interleave(docs: DataFrame, shards: int, scratch: Scratch, seed: int = 11, bucket_rows: int = BUCKET_ROWS, keep: tuple[str, ...] = ()) -> DataFrame:
     """Shard and slot of every row.
 
     docs: doc_id, source, text; keep names further columns or '*' for all. Null source is a source of its own.
-    Null text has 0 bytes, a null doc_id an empty id. Rows that agree in id are told apart by the text, and
-    repeated rows take neighbouring places in any order (they are equal). No rows: no rows out; shards
+    Null text has 0 bytes. Rows of a source that share an id, null or not, are told apart by the text, and
+    equal rows by their number, in any order (they are equal). No rows: no rows out; shards
     differ by one row at most.
 
     Returns doc_id, the kept columns, size (UTF-8 bytes + 16), text_crc32, shard, slot.
     """
     raw = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     wanted = [c for c in (docs.columns if "*" in keep else keep) if c != "doc_id"]
-    slim = docs.select(
-        "doc_id", *([F.struct(*wanted).alias("_kept")] if wanted else []), (F.octet_length(raw) + 16).cast("long").alias("size"), F.crc32(raw).alias("text_crc32"),
-        source_key(F.col("source")).alias("skey"), hash60(F.lit(seed), F.col("doc_id")).alias("h"),
-    )
-    # Counts by source and range of the hash: 2**12 ranges, merged below to buckets of about bucket_rows.
-    fine = docs.select(source_key(F.col("source")).alias("skey"), F.shiftright(hash60(F.lit(seed), F.col("doc_id")), 48).alias("range")).groupBy("skey", "range").count()
-    fine = scratch.table(fine, "counts")
-    per = fine.groupBy("skey").agg(F.sum("count").alias("n")).withColumn("buckets", F.greatest(F.lit(1), F.least(F.lit(4096), F.ceil(F.col("n") / bucket_rows))).cast("long"))
-    total = per.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    bucket = F.expr("(range * buckets) div 4096")
+    bare = docs.select("doc_id", "source", "text", *([F.struct(*wanted).alias("_kept")] if wanted else []))
+    hashed = hashed_rows(bare, scratch, seed)
+    slim = hashed.select("doc_id", *(["_kept"] if wanted else []), (F.octet_length(raw) + 16).cast("long").alias("size"), F.crc32(raw).alias("text_crc32"), "skey", "h")
+    # Counts by source and range of the hash, merged below to buckets of about bucket_rows.
+    ranges, span = 1 << RANGE_BITS, F.shiftright("h", 60 - RANGE_BITS).alias("range")
+    fine = scratch.table(hashed.select("skey", span).groupBy("skey", "range").agg(F.count("*").alias("count")), "counts")
+    phase = F.pmod(F.crc32(F.col("skey").cast("binary")), F.lit(STEPS - 1)) + 1
+    per = fine.groupBy("skey").agg(F.sum("count").alias("n")).withColumn("buckets", F.greatest(F.lit(1), F.least(F.lit(ranges), F.ceil(F.col("n") / bucket_rows))).cast("long"))
+    sources = scratch.table(per.withColumn("phase", phase.cast("long")), "sources")
+    total = sources.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    parts = max(1, -(-total // bucket_rows))
+    bucket = F.expr(f"(range * buckets) div {ranges}")
     offsets = (
-        fine.join(per, "skey").groupBy("skey", bucket.alias("bucket")).agg(F.sum("count").alias("rows"), F.first("n").alias("n"))
+        fine.join(small(sources), "skey").groupBy("skey", "n", "phase", bucket.alias("bucket")).agg(F.sum("count").alias("rows"), F.min("range").alias("low"), F.max("range").alias("high"))
         .withColumn("before", F.sum("rows").over(W.partitionBy("skey").orderBy("bucket")) - F.col("rows"))
     )
-    phase = F.pmod(F.crc32(F.col("skey").cast("binary")), F.lit(STEPS - 1)) + 1
-    sources = per.select("skey", "n", "buckets", phase.cast("long").alias("phase"))
-    parts = max(1, -(-total // bucket_rows))
-    dealt = slim.join(_small(sources, per), "skey").withColumn("range", F.shiftright("h", 48)).withColumn("bucket", bucket).drop("range", "buckets")
-    ordered = dealt.join(_small(offsets.select("skey", "bucket", "before"), fine), ["skey", "bucket"])
+    # A row finds its bucket by its range: every range that has rows is one row here, so no join key is a whole source.
+    known = fine.join(small(sources), "skey").select("skey", "range", "n", "phase", bucket.alias("bucket")).join(offsets.select("skey", "bucket", "before"), ["skey", "bucket"])
+    ordered = slim.withColumn("range", span).join(small(scratch.table(known, "buckets")), ["skey", "range"])
     rank = (F.row_number().over(W.partitionBy("skey", "bucket").orderBy("h", "doc_id", "text_crc32", "size")) - 1 + F.col("before")).cast("long")
     ranked = ordered.withColumn("r", rank).withColumn("frac", (STEPS * F.col("r") + F.col("phase")) / (STEPS * F.col("n")).cast("double"))
-    ranked = ranked.withColumn("cut", F.expr(f"(({STEPS} * r + phase) * {parts}) div ({STEPS} * n)"))
-    # How many rows of a source lie below a cut follows from its count, so places need no count of ranked rows.
-    cuts = (
-        sources.withColumn("cut", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))).withColumn("cut", F.col("cut").cast("long"))
-        .groupBy("cut").agg(F.sum(F.expr(f"({STEPS} * n * cut + ({STEPS} - phase) * {parts} - 1) div ({STEPS} * {parts})")).alias("first_place"))
-    )
-    placed = ranked.join(_small(cuts, fine), "cut")
+    ranked = ranked.withColumn("cut", _cut(parts))
     place = (F.row_number().over(W.partitionBy("cut").orderBy("frac", "skey", "r")) - 1 + F.col("first_place")).cast("long")
     n = max(1, total)
+    placed = ranked.join(small(scratch.table(_cuts(sources, parts), "cuts")), "cut")
     out = placed.withColumn("place", place).withColumn("shard", F.expr(f"cast((place * {shards}) div {n} as int)"))
     return out.withColumn("slot", F.expr(f"place - (cast(shard as bigint) * {n} + {shards - 1}) div {shards}")).select(
         "doc_id", *[F.col(f"_kept.{c}").alias(c) for c in wanted], "size", "text_crc32", "shard", "slot"
     )
 
 
-#: A counts table of more rows than this isn't broadcast but joined by its key.
-BROADCAST_ROWS = 50_000
+def _cut(parts: int):
+    """The piece of the whole order that rank r of a source falls into."""
+    return F.expr(f"(({STEPS} * r + phase) * {parts}) div ({STEPS} * n)")
+
 
+def _cuts(sources: DataFrame, parts: int) -> DataFrame:
+    """(cut, first_place): how many rows lie before each cut, from the counts of the sources alone.
+
+    A source of fewer rows than there are cuts gives a row for each of its ranks, a larger one a row for each cut,
+    so there are never more rows than documents, and sums by cut are made in each task first.
+    """
+    def numbers(rows: DataFrame, count: str, name: str) -> DataFrame:
+        blocks = rows.withColumn("_block", F.explode(F.expr(f"sequence(0L, ({count} - 1) div {BLOCK})")))
+        return blocks.withColumn(name, F.explode(F.expr(f"sequence(_block * {BLOCK}, least({count}, (_block + 1) * {BLOCK}) - 1)")))
 
-def _small(counts: DataFrame, sized_by: DataFrame) -> DataFrame:
-    """Broadcast a table of counts where the table it derives from is small enough; else leave the join to Spark."""
-    return F.broadcast(counts) if sized_by.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else counts
+    few = numbers(sources.where(F.col("n") <= parts), "n", "r").select(_cut(parts).alias("cut"), F.lit(1).cast("long").alias("rows"))
+    many = numbers(sources.where(F.col("n") > parts), f"{parts}L", "cut")
+    # Ranks below a cut: those r with (STEPS * r + phase) * parts < STEPS * n * cut.
+    below = lambda cut: f"greatest(0L, least(n, ({STEPS} * n * ({cut}) + ({STEPS} - phase) * {parts} - 1) div ({STEPS} * {parts})))"
+    many = many.select("cut", F.expr(f"{below('cut + 1')} - {below('cut')}").alias("rows"))
+    per = few.unionByName(many).groupBy("cut").agg(F.sum("rows").alias("rows")).withColumn("_block", F.expr(f"cut div {BLOCK}"))
+    blocks = per.groupBy("_block").agg(F.sum("rows").alias("_in")).select("_block", (F.sum("_in").over(W.orderBy("_block")) - F.col("_in")).alias("_before"))
+    first = F.sum("rows").over(W.partitionBy("_block").orderBy("cut")) - F.col("rows") + F.col("_before")
+    return per.join(blocks, "_block").select("cut", first.alias("first_place"))
 
 
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,7 +103,9 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 _CRC = "xor(4294967295, list_reduce(list_transform(range(len({x}) // 2), lambda i: ('0x' || substr({x}, 2 * i + 1, 2))::BIGINT), lambda c, k: xor(c >> 8, t[1 + (xor(c, k) & 255)]), 4294967295::BIGINT))"
 OP10_SQL = f"""
 WITH t AS MATERIALIZED (SELECT list(list_reduce([0, 1, 2, 3, 4, 5, 6, 7], lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i::BIGINT) ORDER BY i) AS t FROM range(256) r(i)),
-d AS (SELECT doc_id, CASE WHEN source IS NULL THEN 't' ELSE 's' || source END AS skey, hex(encode(coalesce(text, ''))) AS x, ('0x' || substr(md5('11:' || coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS h FROM documents),
+e AS (SELECT doc_id, CASE WHEN source IS NULL THEN 't' ELSE 's' || source END AS skey, hex(encode(coalesce(text, ''))) AS x, md5(coalesce(text, '')) AS m, ('0x' || substr(md5('11:' || coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS h FROM documents),
+f AS (SELECT *, count(*) OVER (PARTITION BY skey, h) AS same, row_number() OVER (PARTITION BY skey, h, m) - 1 AS place FROM e),
+d AS (SELECT doc_id, skey, x, CASE WHEN same > 1 THEN ('0x' || substr(md5(h || ':' || m || ':' || place), 1, 15))::BIGINT ELSE h END AS h FROM f),
 c AS MATERIALIZED (SELECT doc_id, skey, h, (len(x) // 2 + 16)::BIGINT AS size, {_CRC.format(x="x")} AS text_crc32 FROM d, t),
 p AS (SELECT skey, count(*) AS n, 1 + {_CRC.format(x="hex(encode(skey))")} % 15 AS phase FROM c, t GROUP BY skey, t),
 r AS (SELECT c.*, n, phase, row_number() OVER (PARTITION BY c.skey ORDER BY h, doc_id NULLS FIRST, text_crc32, size) - 1 AS r FROM c JOIN p ON c.skey = p.skey),

@@ -39,7 +39,7 @@ def test_hard_turns_come_back(spark):
         s = got[k].loss_spans[0]
         assert len(got[k].loss_spans) == 1 and got[k].formatted[s.start - 1 :][: s.length] in (turns[1][1], turns[1][1].replace("<\\\\|", "<\\\\\\|").replace("<\\|", "<\\\\|").replace("<|", "<\\|"))
         assert got[k].formatted.count("<|im_end|>") == 2 and got[k].formatted.count("<|im_start|>") == 2
-    assert [(t.role, t.text) for t in got[100].turns] == [("assistant", "first"), ("we\nird\\n <|role|>", "x"), ("", "y")] or [t.text for t in got[100].turns][0] == "first"
+    assert [(t.role, t.text) for t in got[100].turns] == [("assistant", "first"), ("we\nird\\n <|role|>", "x"), ("", "y")]
     assert len(got[101].turns) == 2 and not got[101].escaped and got[None].turns[0].text == "no id"
     assert chat.format_conversations(d.limit(0)).count() == 0
 
@@ -50,11 +50,65 @@ def test_parser_refuses_other_text(spark):
     assert all(r.p is None for r in d.collect())
 
 
-def test_water_fill():
-    f = mixing.water_fill
-    assert f({"a": 10, "b": 10}, {"a": 1, "b": 1}, 20, 3) == {"a": 10.0, "b": 10.0}
-    assert f({"a": 1, "b": 100}, {"a": 9, "b": 1}, 101, 3) == {"a": 3.0, "b": 98.0}
-    assert f({"a": 0, "b": 5}, {"a": 1, "b": 1}, 5, 3) == {"a": 0.0, "b": 5.0}
+ROLES = ["\uffff", "\\", "\\n", "\n", "\\\n", "\n\\", "\\\\n", "\\\\\n\uffff\\", "<\\|", "<|x|>\n\\", "n\\n\nn", "<\\\\|\n|>"]
+
+
+def test_every_role_comes_back(spark):
+    rows = [(k, t, role, f"x{k}") for k, role in enumerate(ROLES) for t in range(2)]
+    d = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    for r in chat.format_conversations(d).collect():
+        assert [(t.role, t.text) for t in r.turns] == [(ROLES[r.conv_id], f"x{r.conv_id}")] * 2
+
+
+def test_shares(spark):
+    def f(sizes, weights, budget, most):
+        totals = spark.createDataFrame([(k, sizes[k], float(weights[k])) for k in sizes], "skey string, n long, weight double")
+        return {r.skey: r.target for r in mixing.shares(totals, budget, most).collect()}
+
+    assert f({"a": 10, "b": 10}, {"a": 1, "b": 1}, 20.0, 3) == {"a": 10.0, "b": 10.0}
+    assert f({"a": 1, "b": 100}, {"a": 9, "b": 1}, None, 3) == {"a": 3.0, "b": 98.0}
+    assert f({"a": 0, "b": 5}, {"a": 1, "b": 1}, 5.0, 3) == {"a": 0.0, "b": 5.0}
+    assert f({"a": 4, "b": 5}, {"a": 0, "b": 1}, 100.0, 2) == {"a": 0.0, "b": 10.0}
+
+
+def test_null_and_repeated_ids_are_spread(spark):
+    """Rows without an id, of one id, and equal rows are taken one by one, and reruns in another order agree."""
+    rows = [(None, "w " * 10, "en", "a")] * 200 + [(None, f"x{k} " * 10, "en", "a") for k in range(100)] + [(7, "y " * 10, "en", "b")] * 150 + [(k, "z " * 10, "en", "c") for k in range(200)]
+    results = []
+    for own, parts in ((rows, 3), (rows[::-1], 5)):
+        d = spark.createDataFrame(own, "doc_id long, text string, lang string, source string").repartition(parts)
+        m = mixing.mix(d, Scratch(spark, "t"), budget=2000.0).collect()
+        for source in "abc":
+            taken = sum(r.size * r.copies for r in m if r.source == source)
+            assert abs(taken - next(r.target for r in m if r.source == source)) <= 10
+        back = mixing.repeat(d, Scratch(spark, "t"), budget=2000.0).collect()
+        assert len(back) == sum(r.copies for r in m) and {r.lang for r in back} == {"en"}
+        shards = sharding.interleave(d, 10, Scratch(spark, "t"), keep=("source",)).collect()
+        for s in range(10):
+            assert sorted(r.slot for r in shards if r.shard == s) == list(range(65))
+            assert abs(sum(r.source == "a" for r in shards if r.shard == s) - 30) <= 2
+        results.append((sorted(map(str, m)), sorted(map(str, shards)), sorted(map(str, back))))
+    assert results[0] == results[1]
+
+
+def test_more_cuts_than_rows_of_a_source(spark):
+    rows = [(k, f"t{k}", "en", "hot" if k % 50 else f"s{k % 9}") for k in range(3000)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    want = sorted(map(tuple, sharding.interleave(d, 7, Scratch(spark, "t")).collect()))
+    for size in (1, 16, 500):
+        assert sorted(map(tuple, sharding.interleave(d, 7, Scratch(spark, "t"), bucket_rows=size).collect())) == want
+
+
+def test_plans_beyond_a_broadcast_give_the_same(spark, monkeypatch):
+    from gridquill.llm import common
+
+    rows = [(k % 900, "w " * (1 + k % 7), "en", "hot" if k % 3 else f"s{k % 11}") for k in range(1000)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    run = lambda: (sorted(map(tuple, mixing.mix(d, Scratch(spark, "t")).collect())), sorted(map(tuple, sharding.interleave(d, 7, Scratch(spark, "t"), bucket_rows=16).collect())))
+    want = run()
+    monkeypatch.setattr(common.fits, "__defaults__", (0,))
+    monkeypatch.setattr(common.small, "__defaults__", (0,))
+    assert run() == want
 
 
 def test_mix_is_near_its_targets_and_nested(spark):

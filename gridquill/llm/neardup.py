@@ -108,7 +108,6 @@ def clusters(nodes: DataFrame, scratch: Scratch, percent: int = PERCENT) -> Data
     rare = shared.join(sizes, "node").where(room > 0).select("node", F.explode(F.slice("own", F.lit(1), room.cast("int")))).select("node", F.col("col.value").alias("value"))
     rare = scratch.table(rare, "rare")
     scratch.drop(every)
-    scratch.free_shuffles()
     first = rare.groupBy("value").agg(F.min("node").alias("b"), F.count("*").alias("c")).where("c > 1").select("value", "b")
     edges = scratch.table(rare.join(first, "value").where("node <> b").select(F.col("node").alias("a"), "b").distinct(), "stars")
     found = components(edges, scratch)

@@ -6,23 +6,24 @@ each pass, and groups that are left at full depth are exactly the repeated windo
 
 Sorting every suffix of the corpus in one place would move fifty times the corpus, so the first
 digit is chosen from the content: the smallest hashed ANCHOR-byte gram inside a window (its anchor).
-Equal windows have equal anchors, a run of neighbouring windows shares one, and only about one byte
-in sixteen starts one. The passes over a corpus are then:
+Equal windows have equal anchors at equal places, a run of neighbouring windows shares one, and only
+about one byte in sixteen starts one. The passes over a corpus are then:
 
 1. Texts are packed into bundles with the runs of their anchors, written compressed to the scratch
    folder.
 2. Every bundle sends its distinct anchors, 4 bytes each, to the part of the anchor space they fall
    in; the part answers which of them other bundles have too. Other windows are unique.
-3. For repeated anchors, bundles send one 64-bit digest of each distinct context (the bytes that an
-   anchor's windows cover, 80 at most) with the smallest doc_id that has it. Where an anchor has one
-   context everywhere, as inside copies, the smallest doc_id for all its windows is known at once.
-4. Contexts of the other anchors, at the edges of copies, are sent as bytes. Parts sort them and their
-   windows digit by digit, and answer with the smallest doc_id by window.
-5. Bundles mark the bytes of windows that a smaller doc_id has.
-
-An anchor in more than HOT_BUNDLES bundles sends its windows one by one to parts by their content, so
-a passage that a third of all documents share is spread. A bundle sends one entry for each distinct
-context, however many of its documents hold it. Shuffles of a step are freed before the next.
+3. For repeated anchors, bundles send each distinct context (the bytes that an anchor's windows
+   cover, 80 at most) with the smallest doc_id that has it. A part sorts its contexts by anchor and
+   then digit by digit. Where an anchor has one context everywhere, as inside copies, that context's
+   smallest doc_id holds for all its windows; else the windows of its contexts are sorted, too, by
+   anchor, place and bytes. The part answers with the smallest doc_id by window.
+4. Bundles mark the bytes of windows that a smaller doc_id has.
+
+Hashes only route and preselect: what is removed was found equal byte by byte in the radix passes. An
+anchor in more than HOT_BUNDLES bundles sends its windows one by one to parts by their content, so a
+passage that a third of all documents share is spread. A bundle sends one entry for each distinct
+context, however many of its documents hold it.
 """
 
 from __future__ import annotations
@@ -122,6 +123,18 @@ def unpacked_runs(raw: bytes, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     return row, first, last, last + place
 
 
+def _radix_order(group: np.ndarray, digit: np.ndarray) -> np.ndarray:
+    """Rows in order of (group, digit): counting sorts of 16 bits, the least significant first."""
+    order = np.arange(len(digit))
+    for value, bits in ((digit, 64), (group.astype(U), int(group.max()).bit_length() if len(group) else 0)):
+        for shift in range(0, bits, 16):
+            piece = (value >> U(shift)).astype(np.uint16)
+            if len(piece) and (piece != piece[0]).any():
+                # numpy sorts 16-bit integers by their digits when the sort is to be stable.
+                order = order[np.argsort(piece[order], kind="stable")]
+    return order
+
+
 def radix_classes(digits: np.ndarray) -> np.ndarray:
     """For rows of 8-byte digits (most significant first) the first row that equals each.
 
@@ -131,7 +144,7 @@ def radix_classes(digits: np.ndarray) -> np.ndarray:
     out, rows, group = np.arange(n), np.arange(n), np.zeros(n, np.int64)
     for k in range(digits.shape[1]):
         d = digits[rows, k]
-        order = np.lexsort((d, group))
+        order = _radix_order(group, d)
         rows, group, d = rows[order], group[order], d[order]
         fresh = np.ones(len(rows), bool)
         fresh[1:] = (group[1:] != group[:-1]) | (d[1:] != d[:-1])
@@ -164,9 +177,9 @@ class Bundle:
         self.data = np.frombuffer(zstandard.decompress(text, max_output_size=max(1, int(self.offsets[-1]))), np.uint8)
         row, first, last, at = unpacked_runs(runs, self.offsets)
         kept = self.known[row]
-        self.row, self.first, self.last, at = row[kept], first[kept], last[kept], at[kept]
+        self.row, self.first, self.last, self.anchor = row[kept], first[kept], last[kept], at[kept]
         self.parts = parts
-        digits = _digits(self.data, at, np.full(len(at), ANCHOR), ANCHOR)
+        digits = _digits(self.data, self.anchor, np.full(len(self.anchor), ANCHOR), ANCHOR)
         h = mix((digits * constants(52, digits.shape[1])).sum(1, dtype=U))
         key = (h >> U(32)) % U(parts) << U(32) | h & U(0xFFFFFFFF)
         self.keys, self.key = np.unique(key, return_inverse=True)
@@ -194,36 +207,31 @@ class Bundle:
         self.at = np.concatenate([self.first[warm], self.first[spread] + within])
         self.size = np.concatenate([self.last[warm] - self.first[warm] + WINDOW, np.full(len(spread), WINDOW)])
         self.doc = self.row[np.concatenate([warm, spread])]
+        #: Place of the anchor in a context; equal windows have it at equal places.
+        place = np.concatenate([self.anchor[warm] - self.first[warm], np.zeros(len(spread), np.int64)])
         label = self.keys[self.key[np.concatenate([warm, spread])]]
         digits = _digits(self.data, self.at, self.size, CONTEXT)
-        digest = mix((digits * constants(51, digits.shape[1])).sum(1, dtype=U))
-        self.digest, self.unique, self.entry = np.unique(digest, return_index=True, return_inverse=True)
+        class_of = radix_classes(digits)
+        self.unique = np.unique(class_of)
+        self.entry = np.searchsorted(self.unique, class_of)
         self.smallest = np.full(len(self.unique), np.iinfo(np.int64).max)
         np.minimum.at(self.smallest, self.entry, self.ids[self.doc])
         # Hot windows are dealt by their content, contexts by their anchor.
         burnt = self.unique >= len(warm)
-        content = mix(self.digest + U(1))
+        content = mix((digits[self.unique] * constants(51, digits.shape[1])).sum(1, dtype=U))
         self.part = np.where(burnt, content % U(self.parts), label[self.unique] >> U(32)).astype(np.int64)
         self.label = np.where(burnt, content >> U(32), label[self.unique] & U(0xFFFFFFFF)).astype(np.uint32)
+        self.place = place[self.unique].astype(np.uint8)
         self.order = np.argsort(self.part, kind="stable")
         self.part_bounds = np.searchsorted(self.part[self.order], np.arange(self.parts + 1))
 
-    def digests(self) -> Iterator[tuple[int, bytes]]:
-        """(part, packed digests of its contexts): count, labels, digests, smallest ids."""
+    def sent(self) -> Iterator[tuple[int, bytes]]:
+        """(part, its packed contexts): count, sizes, anchor places, labels, smallest ids, bytes."""
         for part in np.flatnonzero(np.diff(self.part_bounds)):
             own = self.order[self.part_bounds[part] : self.part_bounds[part + 1]]
-            yield int(part), _pack(self.label[own], self.digest[own], self.smallest[own])
-
-    def asked(self, answers: dict[int, bytes]) -> Iterator[tuple[int, bytes]]:
-        """(part, packed contexts that it asks for): count, places in the part's list, sizes, labels, smallest ids, bytes."""
-        for part, raw in answers.items():
-            _, mixed = _opened(raw)
-            if not len(mixed):
-                continue
-            own = self.order[self.part_bounds[part] + mixed.astype(np.int64)]
             start, size = self.at[self.unique[own]], self.size[self.unique[own]]
             flat = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(start, size)
-            yield int(part), _pack(mixed, size.astype(np.uint8), self.label[own], self.smallest[own], self.data[flat], head=len(own))
+            yield int(part), _pack(size.astype(np.uint8), self.place[own], self.label[own], self.smallest[own], self.data[flat], head=len(own))
 
     def marks(self, answers: list[tuple[int, bytes]]) -> np.ndarray:
         """True for every byte that a window with a smaller doc_id covers. answers: (part, runs)."""
@@ -234,7 +242,7 @@ class Bundle:
         edge += np.bincount(self.at[whole], minlength=n + 1) - np.bincount(self.at[whole] + self.size[whole], minlength=n + 1)
         entries, runs = [np.zeros(0, np.int64)], [np.zeros(0, _RUN)]
         for part, raw in answers:
-            found, _ = _opened(raw)
+            found = _opened(raw)
             entries.append(self.order[self.part_bounds[part] + found["entry"].astype(np.int64)])
             runs.append(found)
         entry, run = np.concatenate(entries), np.concatenate(runs)
@@ -268,15 +276,8 @@ def _unpack(blob: bytes, *kinds) -> list[np.ndarray]:
     return [*out, np.frombuffer(raw, np.uint8, -1, at)]
 
 
-def _answer(runs: np.ndarray, mixed: np.ndarray) -> bytes:
-    return zstandard.compress(np.int64(len(runs)).tobytes() + runs.tobytes() + mixed.astype(np.uint32).tobytes(), 3)
-
-
-def _opened(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """(runs, places of contexts that are asked for)."""
-    raw = zstandard.decompress(raw)
-    n = int(np.frombuffer(raw, np.int64, 1)[0])
-    return np.frombuffer(raw, _RUN, n, 8), np.frombuffer(raw, np.uint32, -1, 8 + n * _RUN.itemsize)
+def _opened(raw: bytes) -> np.ndarray:
+    return np.frombuffer(zstandard.decompress(raw), _RUN)
 
 
 #: An answer: windows first to last of a context are in a document with this smaller id.
@@ -298,55 +299,29 @@ def settle_anchors(blobs: list[bytes]) -> list[bytes]:
     return [np.packbits(np.concatenate([count[a:b] > 1, count[a:b] > HOT_BUNDLES])).tobytes() for a, b in zip(ends - sizes, ends, strict=True)]
 
 
-def settle_digests(blobs: list[bytes]) -> list[bytes | None]:
-    """For each bundle's digests: runs for contexts of anchors with one context, and which contexts to send as bytes."""
-    parts = [_unpack(b, np.uint32, U, np.int64) for b in blobs]
-    counts = np.array([len(p[0]) for p in parts])
-    label, digest, smallest = (np.concatenate([p[k] for p in parts]) for k in range(3))
-    order = np.lexsort((digest, label))
-    fresh_label, fresh = np.ones(len(order), bool), np.ones(len(order), bool)
-    fresh_label[1:] = label[order][1:] != label[order][:-1]
-    fresh[1:] = fresh_label[1:] | (digest[order][1:] != digest[order][:-1])
-    group, context = np.cumsum(fresh_label) - 1, np.cumsum(fresh) - 1
-    distinct = np.bincount(group[fresh])
-    least = np.minimum.reduceat(smallest[order], np.flatnonzero(fresh))
-    mixed, low = np.empty(len(order), bool), np.empty(len(order), np.int64)
-    mixed[order], low[order] = distinct[group] > 1, least[context]
-    news = ~mixed & (low < smallest)
-    out = []
-    ends = np.cumsum(counts)
-    for a, b in zip(ends - counts, ends, strict=True):
-        told = np.flatnonzero(news[a:b])
-        runs = np.empty(len(told), _RUN)
-        runs["entry"], runs["first"], runs["last"], runs["smallest"] = told, 0, 255, low[a:b][told]
-        asked = np.flatnonzero(mixed[a:b])
-        out.append(_answer(runs, asked) if len(told) or len(asked) else None)
-    return out
-
-
 def settle_contexts(blobs: list[bytes]) -> list[bytes | None]:
     """For each bundle's contexts the runs of windows for which another bundle or context has a smaller doc_id."""
-    parts = [_unpack(b, np.uint32, np.uint8, np.uint32, np.int64) for b in blobs]
+    parts = [_unpack(b, np.uint8, np.uint8, np.uint32, np.int64) for b in blobs]
     counts = np.array([len(p[0]) for p in parts])
-    place, size, label, smallest, data = (np.concatenate([p[k] for p in parts]) for k in range(5))
+    size, place, label, smallest, data = (np.concatenate([p[k] for p in parts]) for k in range(5))
+    del parts
     size = size.astype(np.int64)
     start = np.cumsum(size) - size
-    class_of = radix_classes(_digits(data, start, size, CONTEXT))
+    class_of = radix_classes(np.concatenate([label[:, None].astype(U), _digits(data, start, size, CONTEXT)], 1))
     least = np.full(len(size), np.iinfo(np.int64).max)
     np.minimum.at(least, class_of, smallest)
     reps = np.unique(class_of)
-    windows = size[reps] - WINDOW + 1
-    rep = np.repeat(reps, windows)
-    offset = np.arange(len(rep)) - np.repeat(np.cumsum(windows) - windows, windows)
-    same = radix_classes(_digits(data, start[rep] + offset, np.full(len(rep), WINDOW), WINDOW))
-    low = np.full(len(rep), np.iinfo(np.int64).max)
-    np.minimum.at(low, same, least[rep])
-    low = low[same]
-    fresh = np.ones(len(rep), bool)
-    fresh[1:] = (rep[1:] != rep[:-1]) | (low[1:] != low[:-1])
-    first = np.flatnonzero(fresh)
-    last = np.append(first[1:], len(rep)) - 1
-    run_rep, run_first, run_last, run_low = rep[first], offset[first], offset[last], low[first]
+    reps = reps[np.argsort(label[reps], kind="stable")]
+    # Where an anchor has one context, all its windows have that context's smallest id: one run.
+    alone = np.ones(len(reps), bool)
+    same_label = label[reps][1:] == label[reps][:-1]
+    alone[1:] &= ~same_label
+    alone[:-1] &= ~same_label
+    runs = [(reps[alone], np.zeros(alone.sum(), np.int64), size[reps[alone]] - WINDOW, least[reps[alone]])]
+    runs += _settled_windows(data, start, size, place.astype(np.int64), label, least, reps[~alone])
+    run_rep, run_first, run_last, run_low = (np.concatenate(x) for x in zip(*runs, strict=True))
+    order = np.argsort(run_rep, kind="stable")
+    run_rep, run_first, run_last, run_low = run_rep[order], run_first[order], run_last[order], run_low[order]
     left, right = np.searchsorted(run_rep, class_of), np.searchsorted(run_rep, class_of, "right")
     count = right - left
     entry = np.repeat(np.arange(len(size)), count)
@@ -357,9 +332,49 @@ def settle_contexts(blobs: list[bytes]) -> list[bytes | None]:
     out = []
     for a, b in zip(ends - counts, ends, strict=True):
         lo, hi = np.searchsorted(entry, [a, b])
-        runs, w = np.empty(hi - lo, _RUN), which[lo:hi]
-        runs["entry"], runs["first"], runs["last"], runs["smallest"] = place[entry[lo:hi]], run_first[w], run_last[w], run_low[w]
-        out.append(_answer(runs, np.zeros(0, np.uint32)) if hi > lo else None)
+        told, w = np.empty(hi - lo, _RUN), which[lo:hi]
+        told["entry"], told["first"], told["last"], told["smallest"] = entry[lo:hi] - a, run_first[w], run_last[w], run_low[w]
+        out.append(zstandard.compress(told.tobytes(), 3) if hi > lo else None)
+    return out
+
+
+#: Windows of contexts that are sorted at a time, whole anchors each.
+WINDOWS_AT_ONCE = 1 << 19
+
+
+def _settled_windows(data: np.ndarray, start: np.ndarray, size: np.ndarray, place: np.ndarray, label: np.ndarray, least: np.ndarray, reps: np.ndarray) -> list[tuple[np.ndarray, ...]]:
+    """Runs (context, first, last, smallest id) of the windows of contexts, which are sorted by label."""
+    out = []
+    windows = size[reps] - WINDOW + 1
+    upto = np.concatenate([[0], np.cumsum(windows)])
+    heads = np.flatnonzero(np.append(True, label[reps][1:] != label[reps][:-1])) if len(reps) else np.zeros(0, np.int64)
+    a = 0
+    while a < len(reps):
+        # As many whole labels as fit, one at least.
+        reach = np.searchsorted(upto, upto[a] + WINDOWS_AT_ONCE, "right") - 1
+        later = heads[heads > a]
+        ends = np.append(later, len(reps))
+        b = int(ends[max(0, np.searchsorted(ends, reach, "right") - 1)])
+        own, n = reps[a:b], windows[a:b]
+        rep = np.repeat(own, n)
+        offset = np.arange(len(rep)) - np.repeat(np.cumsum(n) - n, n)
+        at = start[rep] + offset
+        # Equal windows have their anchor at the same place, so that is a digit after the label; most windows are alone then.
+        first_digit = label[rep].astype(U) << U(8) | (place[rep] - offset + WINDOW).astype(U)
+        _, kind, many = np.unique(first_digit, return_inverse=True, return_counts=True)
+        shared = np.flatnonzero(many[kind] > 1)
+        low = least[rep]
+        if len(shared):
+            same = radix_classes(np.concatenate([first_digit[shared, None], _digits(data, at[shared], np.full(len(shared), WINDOW), WINDOW)[:, :-1]], 1))
+            best = np.full(len(shared), np.iinfo(np.int64).max)
+            np.minimum.at(best, same, low[shared])
+            low[shared] = best[same]
+        fresh = np.ones(len(rep), bool)
+        fresh[1:] = (rep[1:] != rep[:-1]) | (low[1:] != low[:-1])
+        first = np.flatnonzero(fresh)
+        last = np.append(first[1:], len(rep)) - 1
+        out.append((rep[first], offset[first], offset[last], low[first]))
+        a = b
     return out
 
 
@@ -386,7 +401,7 @@ def bundles(docs: DataFrame) -> DataFrame:
 
 
 _ROW = pa.schema([("kind", pa.int32()), ("part", pa.int32()), ("bundle", pa.int64()), ("blob", pa.binary())])
-ANCHORS, DIGESTS, CONTEXTS = 1, 2, 3
+ANCHORS, CONTEXTS = 1, 2
 _ROW_DDL = "kind int, part int, bundle long, blob binary"
 RESULT = "doc_id long, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept binary"
 
@@ -425,25 +440,17 @@ def remove_repeats(docs: DataFrame, scratch: Scratch) -> DataFrame:
         return answer
 
     def by_kind(table: pa.Table) -> dict[int, list[tuple[int, bytes]]]:
-        out: dict[int, list] = {ANCHORS: [], DIGESTS: [], CONTEXTS: []}
+        out: dict[int, list] = {ANCHORS: [], CONTEXTS: []}
         for kind, part, blob in zip(*(table[c].to_pylist() for c in ("kind", "part", "blob")), strict=True):
             out[kind].append((part, blob))
         return out
 
-    def digests(left: pa.Table, right: pa.Table) -> pa.Table:
-        out, known = [], by_kind(right)
-        for row in left.to_pylist():
-            own = opened(row)
-            own.contexts(dict(known[ANCHORS]))
-            out += [(0, p, row["bundle"], blob) for p, blob in own.digests()]
-        return rows_of(out)
-
     def contexts(left: pa.Table, right: pa.Table) -> pa.Table:
         out, known = [], by_kind(right)
         for row in left.to_pylist():
             own = opened(row)
             own.contexts(dict(known[ANCHORS]))
-            out += [(0, p, row["bundle"], blob) for p, blob in own.asked(dict(known[DIGESTS]))]
+            out += [(0, p, row["bundle"], blob) for p, blob in own.sent()]
         return rows_of(out)
 
     result = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("kept", pa.binary())])
@@ -454,7 +461,7 @@ def remove_repeats(docs: DataFrame, scratch: Scratch) -> DataFrame:
         for row in left.to_pylist():
             own = opened(row)
             own.contexts(dict(known[ANCHORS]))
-            gone = own.marks(known[DIGESTS] + known[CONTEXTS])
+            gone = own.marks(known[CONTEXTS])
             n = len(own.ids)
             begins = np.zeros(len(gone) + 1, bool)
             begins[own.offsets] = True
@@ -470,18 +477,15 @@ def remove_repeats(docs: DataFrame, scratch: Scratch) -> DataFrame:
             tables.append(pa.table([pa.array(own.ids, mask=~own.known), pa.array(np.diff(own.offsets)), pa.array(np.diff(total_gone[own.offsets])), spans, bytes_kept], result.names).cast(result))
         return pa.concat_tables(tables) if tables else result.empty_table()
 
-    # No step's DataFrame is kept in a name: its shuffle files can go once its answers are written.
     def settled(sent: DataFrame, settle, kind: int) -> DataFrame:
         return scratch.table(sent.groupBy("part").applyInArrow(answered(settle, kind), _ROW_DDL), f"answers{kind}")
 
     def told(send, answers: DataFrame, ddl: str) -> DataFrame:
-        scratch.free_shuffles()
         return packed.groupBy("bundle").cogroup(answers.groupBy("bundle")).applyInArrow(send, ddl)
 
     first = settled(packed.mapInArrow(anchors, _ROW_DDL), settle_anchors, ANCHORS)
-    second = settled(told(digests, first, _ROW_DDL), settle_digests, DIGESTS)
-    third = settled(told(contexts, first.union(second), _ROW_DDL), settle_contexts, CONTEXTS)
-    return told(removal, first.union(second).union(third), RESULT)
+    second = settled(told(contexts, first, _ROW_DDL), settle_contexts, CONTEXTS)
+    return told(removal, first.union(second), RESULT)
 
 
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -174,7 +174,7 @@ def test_removal_across_bundles_and_hot_passages(spark, monkeypatch):
         assert r.n_removed == sum(s.end - s.start for s in r.spans)
 
 
-def test_settling_in_one_process():
+def test_settling_in_one_process(monkeypatch):
     """The passes without Spark, with bundles of a few texts and anchors counted hot."""
     rng = np.random.default_rng(4)
     shared = "".join(map(chr, rng.integers(97, 105, 200)))
@@ -201,10 +201,10 @@ def test_settling_in_one_process():
     first = settled(lambda b, k: b.anchors(), suffix.settle_anchors)
     for b, known in zip(made, first, strict=True):
         b.contexts(known)
-    second = settled(lambda b, k: b.digests(), suffix.settle_digests)
-    third = settled(lambda b, k: b.asked(second[k]), suffix.settle_contexts)
+    monkeypatch.setattr(suffix, "WINDOWS_AT_ONCE", 40)
+    second = settled(lambda b, k: b.sent(), suffix.settle_contexts)
     for k, b in enumerate(made):
-        gone = b.marks([*second[k].items(), *third[k].items()])
+        gone = b.marks([*second[k].items()])
         for d, i, j in zip(b.ids, b.offsets, b.offsets[1:], strict=False):
             assert (j - i, gone[i:j].sum()) == want[int(d)][:2]
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import WORD_PATTERN, Scratch, fits, hashed_rows, read_table, small
+from .common import WORD_PATTERN, Scratch, fits, hashed_rows, read_table
 
 HASH_BITS, LEVEL_BITS = 60, 12
 #: Where the plan of the sources is too large to broadcast, a source's rows are dealt to this many tasks by their hash.
@@ -27,10 +27,10 @@ def shares(totals: DataFrame, budget: float | None, most_epochs: int) -> DataFra
     what the open ones get for a unit of weight. Two windows run over one row for each source, in a stream;
     nothing but two numbers reaches the driver.
     """
-    budget = float(totals.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]) if budget is None else budget
+    words, weight = totals.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum(F.when(F.col("weight") > 0, F.col("weight"))), F.lit(0.0))).first()
+    budget = float(words) if budget is None else budget
     open_ones = totals.where("weight > 0").withColumn("cap", F.col("n") * most_epochs).withColumn("ratio", F.col("cap") / F.col("weight"))
     upto = W.orderBy("ratio", "skey").rowsBetween(W.unboundedPreceding, 0)
-    weight = open_ones.agg(F.coalesce(F.sum("weight"), F.lit(0.0)).cast("double")).first()[0]
     filled = open_ones.withColumn("left", F.lit(budget) - (F.sum("cap").over(upto) - F.col("cap"))).withColumn("weights", F.lit(weight) - (F.sum("weight").over(upto) - F.col("weight")))
     edge = filled.where(F.col("ratio") > F.col("left") / F.col("weights")).agg(F.min_by(F.col("left") / F.col("weights"), F.struct("ratio", "skey"))).first()[0]
     cap = (F.col("n") * most_epochs).cast("double")
@@ -57,7 +57,7 @@ def mix(docs: DataFrame, scratch: Scratch, **how) -> DataFrame:
 
 def planned(rows: DataFrame, plan: DataFrame) -> DataFrame:
     """rows (skey, h) with their source's plan. A plan that doesn't fit a broadcast is dealt, so that a large source is split."""
-    if fits(plan):
+    if fits(plan.select("skey", "epochs", "upto", "target", "source_size")):
         return rows.join(F.broadcast(plan), "skey")
     dealt = plan.withColumn("_deal", F.explode(F.sequence(F.lit(0), F.lit(DEAL - 1))))
     return rows.withColumn("_deal", F.pmod("h", F.lit(DEAL)).cast("int")).join(dealt, ["skey", "_deal"]).drop("_deal")
@@ -74,20 +74,22 @@ def thresholds(docs: DataFrame, scratch: Scratch, weights: DataFrame | None = No
         totals = totals.withColumn("weight", (F.pmod(F.row_number().over(W.orderBy(F.col("skey").cast("binary"))) - 1, F.lit(3)) + 1).cast("double"))
     else:
         totals = totals.join(weights.select("skey", F.col("weight").cast("double").alias("weight")), "skey", "left").na.fill(0.0, ["weight"])
-    totals = scratch.table(totals, "totals")
+    totals = scratch.table(totals.coalesce(1), "totals")
     epochs = F.when(F.col("n") > 0, F.floor(F.col("target") / F.col("n"))).otherwise(0).cast("int")
     plan = shares(totals, budget, most_epochs).select("skey", F.col("n").alias("source_size"), "target", epochs.alias("epochs"))
     plan = scratch.table(plan.withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size")), "targets")
     state = plan.where("rest > 0").select("skey", "rest", F.lit(0).cast("long").alias("prefix"), F.lit(0).cast("long").alias("before"))
     none, all_of_it = F.lit(-1).cast("long"), F.lit((1 << HASH_BITS) - 1).cast("long")
+    # State is a row or less for each source.
+    sent = F.broadcast if fits(plan) else lambda df: df
     settled = plan.where("not rest > 0").select("skey", none.alias("upto"))
     for level in range(1, HASH_BITS // LEVEL_BITS + 1):
         shift = HASH_BITS - LEVEL_BITS * level
         bucketed = sized.select("skey", "size", "h", F.shiftright("h", shift).alias("bucket"))
         if level > 1:
             # Only the boundary buckets are read on: a small part of every source.
-            bucketed = bucketed.withColumn("prefix", F.shiftright("bucket", LEVEL_BITS)).join(small(state.select("skey", "prefix")), ["skey", "prefix"], "left_semi")
-        counts = bucketed.groupBy("skey", "bucket").agg(F.sum("size").alias("n"), F.min("h").alias("lo"), F.max("h").alias("hi")).join(small(state), "skey")
+            bucketed = bucketed.withColumn("prefix", F.shiftright("bucket", LEVEL_BITS)).join(sent(state.select("skey", "prefix")), ["skey", "prefix"], "left_semi")
+        counts = bucketed.groupBy("skey", "bucket").agg(F.sum("size").alias("n"), F.min("h").alias("lo"), F.max("h").alias("hi")).join(sent(state), "skey")
         # One source has 2**LEVEL_BITS buckets at most, so its window is small whatever the input.
         upto = counts.withColumn("upto", F.col("before") + F.sum("n").over(W.partitionBy("skey").orderBy("bucket")))
         edge = upto.where(F.col("upto") > F.col("rest")).groupBy("skey").agg(F.min_by(F.struct("bucket", "n", "upto", "lo", "hi"), "bucket").alias("b"))

@@ -50,11 +50,11 @@ def interleave(docs: DataFrame, shards: int, scratch: Scratch, seed: int = 11, b
     parts = max(1, -(-total // bucket_rows))
     bucket = F.expr(f"(range * buckets) div {ranges}")
     offsets = (
-        fine.join(small(sources), "skey").groupBy("skey", "n", "phase", bucket.alias("bucket")).agg(F.sum("count").alias("rows"), F.min("range").alias("low"), F.max("range").alias("high"))
+        fine.join(small(sources), "skey").groupBy("skey", bucket.alias("bucket")).agg(F.sum("count").alias("rows"))
         .withColumn("before", F.sum("rows").over(W.partitionBy("skey").orderBy("bucket")) - F.col("rows"))
     )
     # A row finds its bucket by its range: every range that has rows is one row here, so no join key is a whole source.
-    known = fine.join(small(sources), "skey").select("skey", "range", "n", "phase", bucket.alias("bucket")).join(offsets.select("skey", "bucket", "before"), ["skey", "bucket"])
+    known = fine.join(small(sources), "skey").select("skey", "range", "n", "phase", bucket.alias("bucket")).join(small(offsets.select("skey", "bucket", "before")), ["skey", "bucket"])
     ordered = slim.withColumn("range", span).join(small(scratch.table(known, "buckets")), ["skey", "range"])
     rank = (F.row_number().over(W.partitionBy("skey", "bucket").orderBy("h", "doc_id", "text_crc32", "size")) - 1 + F.col("before")).cast("long")
     ranked = ordered.withColumn("r", rank).withColumn("frac", (STEPS * F.col("r") + F.col("phase")) / (STEPS * F.col("n")).cast("double"))

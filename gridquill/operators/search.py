@@ -41,7 +41,7 @@ def counted_terms(tokens: Column) -> Column:
         starts = F.array_compact(F.transform(s, lambda w, i: F.when((i == 0) | (w != F.get(s, i - 1)), i)))
         return let(starts, lambda p: F.transform(p, lambda i, k: F.struct(F.get(s, i).alias("term"), (F.coalesce(F.get(p, k + 1), F.size(s)) - i).alias("tf"))))
 
-    return let(F.array_sort(tokens), runs)
+    return let(F.sort_array(tokens), runs)
 
 
 def term_counts(docs: DataFrame, id_col: str, text_col: str, tokenizer: str = "words", mark: bool = False) -> DataFrame:

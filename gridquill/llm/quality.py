@@ -16,8 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import held_out, read_table, workers_see_package
-from .labelled import class_counts, platt, sampled, sigmoid, training_labels, with_label
+from .common import Scratch, held_out, read_table, workers_see_package
+from .labelled import SAMPLE_BYTES, class_counts, collected, platt, sampled, sigmoid, training_labels, with_label
 from .textvec import LOWER, U, Words, mix, text_slices
 
 CELL_BITS = 17
@@ -101,12 +101,25 @@ def dual_coordinate_descent(x: list[np.ndarray], y: np.ndarray, ratio: np.ndarra
     return w, bias
 
 
+def log_ratio(n: np.ndarray, counts: tuple[int, int]) -> np.ndarray:
+    """Log ratio of the smoothed shares of label-1 and label-0 rows that have a cell; n (2 x cells) has 1 added."""
+    return np.log(n[1] / (counts[1] + 2)) - np.log(n[0] / (counts[0] + 2))
+
+
+def left_out_margin(w: np.ndarray, bias: float, n: np.ndarray, counts: tuple[int, int], cells: np.ndarray, label: int) -> float:
+    """Margin of a row by the ratios that counts without this row give."""
+    less = n[:, cells].copy()
+    less[label] = np.maximum(less[label] - 1, 1)
+    ratio = log_ratio(less, tuple(c - (k == label) for k, c in enumerate(counts)))
+    return float((w[cells] * ratio).sum() / max(1e-9, np.linalg.norm(ratio)) + bias)
+
+
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> QualityModel:
     """Fit on docs (doc_id, text) with labels (doc_id, label 0 or 1).
 
     Log-count ratios cover all labelled rows; the hinge-loss fit takes about per_class rows of either label,
-    picked by a hash of the id, and the calibration weighs them back to the counts of all labels. Without
-    rows of both labels every score is the share of label 1 (0 without labels).
+    picked by a hash of the id, SAMPLE_BYTES of indicators at most, and the calibration weighs them back to the
+    counts of all labels. Without rows of both labels every score is the share of label 1 (0 without labels).
     """
     counts = class_counts(labels)
     if not min(counts):
@@ -128,7 +141,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -
     n = np.ones((2, 1 << CELL_BITS))
     for k in (0, 1):
         n[k][found["cell"].to_numpy()] += found[f"n{k}"].to_numpy()
-    ratio = np.log(n[1] / (counts[1] + 2)) - np.log(n[0] / (counts[0] + 2))
+    ratio = log_ratio(n, counts)
 
     def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, offsets in text_slices(batches):
@@ -136,10 +149,10 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -
             bounds = np.searchsorted(key, np.arange(part.num_rows + 1) << CELL_BITS)
             own = (key & (1 << CELL_BITS) - 1).astype(np.int32)
             packed = [own[a:b].tobytes() for a, b in zip(bounds, bounds[1:], strict=False)]
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("label"), pa.array(packed, pa.binary())], ["doc_id", "label", "x"])
+            yield pa.RecordBatch.from_arrays([part.column("place"), part.column("label"), pa.array(packed, pa.binary())], ["place", "label", "x"])
 
-    some = with_label(docs, sampled(labels, counts, per_class, "quality"), bounded=True)
-    taken = some.select("doc_id", "label", "text").mapInArrow(cells, "doc_id long, label int, x binary").toArrow().sort_by("doc_id")
+    some = sampled(docs, labels, counts, per_class, "quality").select("place", "label", "text").mapInArrow(cells, "place long, label int, x binary")
+    taken = collected(Scratch(docs.sparkSession, "quality").table(some, "sample"), 4 * per_class, SAMPLE_BYTES)
     label = taken["label"].to_numpy()
     x = [np.frombuffer(b.as_buffer(), np.int32) for b in taken["x"]]
     order = np.random.default_rng(5).permutation(len(x))
@@ -147,7 +160,8 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -
     prior = np.where(label == 1, counts[1] / max(1, (label == 1).sum()), counts[0] / max(1, (label == 0).sum()))
     w, bias = dual_coordinate_descent([x[k] for k in fit_on], np.where(label[fit_on] == 1, 1.0, -1.0), ratio, np.ones(len(fit_on)))
     weights = w * ratio
-    margin = np.array([weights[x[k]].sum() / max(1e-9, np.linalg.norm(ratio[x[k]])) + bias for k in test_on])
+    # The ratios have seen the rows held back for the calibration, too: each is judged by ratios without its own counts.
+    margin = np.array([left_out_margin(w, bias, n, counts, x[k], int(label[k])) for k in test_on])
     slope, offset = platt(margin, label[test_on].astype(float), prior[test_on]) if len(test_on) > 20 else (1.0, 0.0)
     return QualityModel(weights, ratio, bias, slope, offset)
 

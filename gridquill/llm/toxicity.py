@@ -15,8 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import held_out, read_table, workers_see_package
-from .labelled import class_counts, platt, sampled, sigmoid, training_labels, with_label
+from .common import Scratch, held_out, read_table, workers_see_package
+from .labelled import SAMPLE_BYTES, class_counts, collected, platt, sampled, sigmoid, training_labels
 from .textvec import U, Words, lower_latin, mix, text_slices
 
 CELL_BITS = 20
@@ -84,7 +84,8 @@ def ftrl(x: list[np.ndarray], y: np.ndarray, epochs: int = 8, alpha: float = 1.0
 
 
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> ToxicModel:
-    """Fit on docs (doc_id, text) with labels (doc_id, label 0 or 1), on about per_class rows of either label.
+    """Fit on docs (doc_id, text) with labels (doc_id, label 0 or 1), on about per_class rows of either label,
+    SAMPLE_BYTES of features at most.
 
     The sample balances the classes; calibration weighs them back to the counts of all labels. Without
     rows of both labels every score is the share of label 1 (0 without labels).
@@ -101,10 +102,10 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -
             bounds = np.searchsorted(key, np.arange(part.num_rows + 1) << CELL_BITS)
             own = (key & (1 << CELL_BITS) - 1).astype(np.int32)
             packed = [own[a:b].tobytes() for a, b in zip(bounds, bounds[1:], strict=False)]
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("label"), pa.array(packed, pa.binary())], ["doc_id", "label", "x"])
+            yield pa.RecordBatch.from_arrays([part.column("place"), part.column("label"), pa.array(packed, pa.binary())], ["place", "label", "x"])
 
-    rows = with_label(docs, sampled(labels, counts, per_class, "toxic"), bounded=True)
-    taken = rows.select("doc_id", "label", "text").mapInArrow(cells, "doc_id long, label int, x binary").toArrow().sort_by("doc_id")
+    some = sampled(docs, labels, counts, per_class, "toxic").select("place", "label", "text").mapInArrow(cells, "place long, label int, x binary")
+    taken = collected(Scratch(docs.sparkSession, "toxic").table(some, "sample"), 4 * per_class, SAMPLE_BYTES)
     y = taken["label"].to_numpy().astype(float)
     x = [np.frombuffer(b.as_buffer(), np.int32) for b in taken["x"]]
     order = np.random.default_rng(5).permutation(len(x))

@@ -259,6 +259,150 @@ def test_parameters_of_a_question(text, hit, spark):
     assert decontam.decontaminate(d, b, Scratch(spark, "t")).count() == (0 if hit else 1)
 
 
+SHORT = [(1, "Paris"), (2, "42"), (3, "What is 12 + 7 ? 19"), (4, "York New York 12 Boston 13"), (5, "Name the capital of France: Paris")]
+
+
+SHORT_CASES = [
+    ("London", set()), ("1999", set()), ("Paris", {1}), ("I saw Paris in 42 days", set()), ("so tell me: what is 12 + 7? 19, of course", {3}), ("what is 13 + 7 ? 20 that is", set()), ("42", {2}),
+    ("we saw York, New York: 12, Boston 13", {4}), ("we saw New York York 12 Boston 13", set()), ("Name the capital of France: Paris", {5}), ("x Name the capital of Spain: Madrid y", {5}),
+    ("What is 3 + 4 ? 7", {3}), ("where is 3 + 4 ? 7", set()),
+]
+
+
+def test_short_items(spark):
+    b = spark.createDataFrame(SHORT, "item_id long, text string")
+    d = documents(spark, [(k, text, None, None) for k, (text, _) in enumerate(SHORT_CASES)])
+    got = {}
+    for r in decontam.contamination(d, b, Scratch(spark, "t")).collect():
+        got.setdefault(r.doc_id, set()).add(r.item_id)
+    assert {k: got.get(k, set()) for k in range(len(SHORT_CASES))} == {k: items for k, (_, items) in enumerate(SHORT_CASES)}
+
+
+NAMES = "Anna Boris Clara David Emil Frida Georg Hanna".split()
+VERBS = "buys sells paints carries counts washes folds lends drops finds".split()
+THINGS = "apples stones books ropes plates shirts lamps nails coins shells".split()
+
+
+def story(rng, verbs, things, names, numbers):
+    """A question over two people and three numbers; each value stands in two places at least."""
+    a, b = names
+    x, y, z = numbers
+    return (
+        f"Every morning {a} {verbs[0]} {x} {things[0]} and then {a} {verbs[1]} {y} {things[1]} for {b} . Later {b} {verbs[2]} {z} {things[0]} , "
+        f"so {b} still {verbs[3]} {x} {things[2]} while {a} {verbs[4]} {y} {things[3]} . How many {things[4]} do {a} and {b} have after {z} days ?"
+    )
+
+
+def test_templates_against_a_plain_version(spark):
+    """Items with other names and numbers, copies with inserted words, shuffled slots, and unrelated questions."""
+    rng = np.random.default_rng(11)
+    items, docs, planted = [], [], {}
+    for i in range(25):
+        verbs, things = list(rng.permutation(VERBS)), list(rng.permutation(THINGS))
+        make = lambda names, numbers: story(rng, verbs, things, names, numbers)  # noqa: E731, B023
+        own = make(list(rng.permutation(NAMES)[:2]), [int(v) for v in rng.choice(np.arange(2, 90), 3, replace=False)])
+        items.append((i, own))
+        other = make(["Zora", "Yuri"], [int(v) for v in rng.choice(np.arange(100, 900), 3, replace=False)])
+        words = other.split()
+        words.insert(20, "really")
+        shuffled = [str(int(rng.integers(1000, 9999))) if w.isdigit() else ("Q" + str(k) + "x" if w[:1].isupper() else w) for k, w in enumerate(other.split())]
+        shuffled = [w if not (w.startswith("Q") and w.endswith("x")) else "Name" + chr(97 + k % 26) + chr(97 + k // 26) for k, w in enumerate(shuffled)]
+        for kind, text in (("same", own), ("other", other), ("inserted", " ".join(words)), ("shuffled", " ".join(shuffled))):
+            planted[len(docs)] = (kind, i)
+            docs.append((len(docs), f"some text before it . {text} and after"))
+    got = {(r.doc_id, r.item_id) for r in decontam.contamination(documents(spark, [(d, t, None, None) for d, t in docs]), spark.createDataFrame(items, "item_id long, text string"), Scratch(spark, "t")).collect()}
+    assert got == plain_contamination(docs, items)
+    assert all(((d, i) in got) == (kind != "shuffled") for d, (kind, i) in planted.items())
+
+
+NUMBERS, UNITS = set(decontam.NUMBER_WORDS), set(decontam.UNIT_WORDS)
+
+
+def plain_tokens(text):
+    """(word, type) by rules written down again, one word at a time."""
+    found = re.findall(r"\d+(?:[.,]\d+)*|[%$]+|[^\s\d!-/:-@\[-`{-~]+", text or "")
+    kinds = []
+    for w in found:
+        upper = "A" <= w[0] <= "Z" and len(w.encode()) > 1 and not "A" <= w[1:2] <= "Z" or "À" <= w[0] <= "Þ"
+        kinds.append("N" if w[0].isdigit() or w.lower() in NUMBERS else "P" if upper else "")
+    for k, w in enumerate(found):
+        if kinds[k] != "N" and w.lower() in UNITS and "N" in (kinds[k - 1 : k] + kinds[k + 1 : k + 2]):
+            kinds[k] = "U"
+    return [w.lower() for w in found], kinds
+
+
+def plain_template(text, names):
+    words, kinds = plain_tokens(text)
+    out = []
+    for w, k in zip(words, kinds, strict=True):
+        k = "" if k == "P" and not names else k
+        if k and out and out[-1][0] == k:
+            out[-1] = (k, (*out[-1][1], w))
+        else:
+            out.append((k, (w,)))
+    return out
+
+
+def plain_windows_of(t):
+    shape = [(k, None if k else v) for k, v in t]
+    if len(t) < 5:
+        return {0: tuple(shape)} if sum(not k for k, _ in t) >= 2 else {}
+    return {p: tuple(shape[p : p + 5]) for p in range(len(t) - 4) if sum(not k for k, _ in t[p : p + 5]) >= 2}
+
+
+def plain_consistent(found):
+    """found: set of (item position, ((slot, item value, value), ...)); windows left."""
+    slots = {b for _, bound in found for b in bound}
+    count = {}
+    for _, i, d in slots:
+        count[i, d] = count.get((i, d), 0) + 1
+    held = set()
+    for i, d in count:
+        rivals = [(e, n) for (j, e), n in count.items() if j == i and e != d]
+        if i == d or not any(e == i or n >= count[i, d] for e, n in rivals):
+            held.add((i, d))
+    return {w for w in found if all((i, d) in held for _, i, d in w[1])}
+
+
+def plain_contamination(docs, items):
+    """Items of five template tokens or more, by all pairs."""
+    out = set()
+    for names in (False, True):
+        made = {i: (t := plain_template(x, names), plain_windows_of(t)) for i, x in items}
+        for d, text in docs:
+            td = plain_template(text, names)
+            wd = plain_windows_of(td)
+            for i, (ti, wi) in made.items():
+                by = {}
+                for p, h in wi.items():
+                    for q, g in wd.items():
+                        if g == h:
+                            bound = tuple((p + k, ti[p + k][1], td[q + k][1]) for k in range(len(h)) if h[k][0])
+                            by.setdefault(q - p, set()).add((p, bound))
+                groups, last = [], None
+                for diagonal in sorted(by):
+                    if last is None or diagonal - last > decontam.GAP:
+                        groups.append(set())
+                    groups[-1] |= by[diagonal]
+                    last = diagonal
+                groups.append(set().union(*groups))
+                if wi and max(len({p for p, _ in plain_consistent(g)}) for g in groups) >= 0.5 * len(wi):
+                    out.add((d, i))
+    return out
+
+
+def test_parts_of_an_item_must_agree(spark):
+    """Two halves of a question with different names and numbers don't add up; with the same ones they do."""
+    rng = np.random.default_rng(0)
+    item = story(rng, VERBS, THINGS, ["Anna", "Boris"], [3, 5, 7])
+    one, two = story(rng, VERBS, THINGS, ["Zora", "Yuri"], [11, 13, 17]).split(), story(rng, VERBS, THINGS, ["Vera", "Karl"], [21, 23, 29]).split()
+    cut, filler = len(one) // 2, "and now something that has nothing to do with any of this at all for a while".split()
+    texts = [(1, one[:cut] + filler + one[cut:]), (2, one[: cut - 6] + filler + two[cut + 6 :])]
+    d = documents(spark, [(k, " ".join(t), None, None) for k, t in texts])
+    got = {r.doc_id for r in decontam.contamination(d, spark.createDataFrame([(1, item)], "item_id long, text string"), Scratch(spark, "t")).collect()}
+    assert got == {d for d, _ in plain_contamination([(k, " ".join(t)) for k, t in texts], [(1, item)])} and 1 in got and 2 not in got
+
+
 def test_one_changed_number_hides_no_copy(spark):
     """A value that the item has twice, changed in one place only, drops just the windows of that place."""
     b = spark.createDataFrame([(1, QUESTION)], "item_id long, text string")

@@ -1,9 +1,10 @@
 """Audio features of stored media: polyphase resampling, log-mel filterbanks, energy segments.
 
 Media are RIFF/WAVE files of mono 8-bit samples. Features are read from the stored bytes: samples are
-resampled by a rational factor with a polyphase FIR filter, cut into overlapped frames, turned into
-log-mel energies, and loud stretches are found by two thresholds (hysteresis). Frames are kept as an
-Arrow tensor column of fixed shape (PATCH_FRAMES x MELS) with a time span for each patch.
+resampled from the file's own rate to TARGET by a rational factor with a polyphase FIR filter (5/8 for
+files of RATE), cut into overlapped frames, turned into log-mel energies, and loud stretches are found by
+two thresholds (hysteresis). Frames are kept as patches of fixed shape, PATCH_FRAMES x MELS, each with its
+time span; tensors() reads that column as Arrow's fixed-shape tensors.
 """
 
 from __future__ import annotations
@@ -12,6 +13,8 @@ import hashlib
 import struct
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
+from math import gcd
 
 import numpy as np
 import pyarrow as pa
@@ -19,10 +22,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read_table, workers_see_package
+from .common import Scratch, read_table, workers_see_package
 
-#: Samples a second of stored media, resampling factor up / down, filter taps for each phase.
-RATE, UP, DOWN, TAPS = 16_000, 1, 2, 16
+#: Samples a second of media stored here, and of what features are made from; filter taps for each phase at a factor of 1 or more.
+RATE, TARGET, TAPS = 16_000, 10_000, 16
 FRAME, HOP, MELS, PATCH_FRAMES = 512, 256, 24, 32
 #: Hysteresis: a segment opens at the first and closes below the second, in nats above the mean log energy.
 OPEN_AT, CLOSE_AT = 0.05, -0.05
@@ -57,8 +60,18 @@ def decode(media: bytes) -> tuple[bytes, int]:
     return samples, rate
 
 
-def prototype(up: int = UP, down: int = DOWN, taps: int = TAPS) -> np.ndarray:
-    """Low-pass prototype (windowed sinc), as up phases x taps; every phase sums to 1."""
+def factor(rate: int) -> tuple[int, int]:
+    """(up, down): TARGET / rate in lowest terms."""
+    if rate <= 0:
+        raise ValueError("no sample rate")
+    common = gcd(TARGET, rate)
+    return TARGET // common, rate // common
+
+
+@lru_cache(maxsize=8)
+def prototype(up: int, down: int) -> np.ndarray:
+    """Low-pass prototype (windowed sinc, cut off at the lower of both rates) as up phases x taps; every phase sums to 1."""
+    taps = TAPS * max(1, -(-down // up))
     n = up * taps
     t = np.arange(n) - (n - 1) / 2
     h = np.sinc(t / max(up, down)) * np.hamming(n)
@@ -66,21 +79,27 @@ def prototype(up: int = UP, down: int = DOWN, taps: int = TAPS) -> np.ndarray:
     return (phases / phases.sum(1, keepdims=True)).astype(np.float32)
 
 
-def resample(x: np.ndarray, phases: np.ndarray, down: int, start: int, stop: int) -> np.ndarray:
-    """Output samples start..stop-1 of the polyphase resampler over all of x; beyond its ends x is 0.
+def resample(x: np.ndarray, up: int, down: int, start: int, stop: int) -> np.ndarray:
+    """Output samples start..stop-1 of the polyphase resampler over x (bytes, 128 is 0); beyond its ends the signal is 0.
 
-    Output k uses phase (k * down) mod up and the taps of x that end at (k * down) // up + taps // 2.
+    Output k uses phase (k * down) mod up and the taps of x that end at (k * down) // up + taps // 2. Every up-th
+    output has one phase and inputs that are down apart, so a phase is one product of a strided view.
     """
-    up, taps = phases.shape
-    k = np.arange(start, stop)
-    last = k * down // up + taps // 2
-    low, high = int(last[0]) - taps + 1, int(last[-1]) + 1
+    phases = prototype(up, down)
+    taps = phases.shape[1]
+    end = lambda k: k * down // up + taps // 2
+    low, high = end(start) - taps + 1, end(stop - 1) + 1
     piece = np.zeros(high - low, np.float32)
     a, b = max(low, 0), min(high, len(x))
     if a < b:
-        piece[a - low : b - low] = x[a:b]
-    runs = np.lib.stride_tricks.sliding_window_view(piece, taps)[last - taps + 1 - low]
-    return np.einsum("kt,kt->k", runs, phases[k * down % up][:, ::-1], optimize=False)
+        piece[a - low : b - low] = (x[a:b].astype(np.float32) - 128) / 128
+    runs = np.lib.stride_tricks.sliding_window_view(piece, taps)
+    out = np.empty(stop - start, np.float32)
+    for first in range(start, min(stop, start + up)):
+        n = len(range(first, stop, up))
+        view = runs[end(first) - taps + 1 - low :: down][:n]
+        out[first - start :: up] = view @ phases[first * down % up][::-1]
+    return out
 
 
 def mel_bank(rate: float, mels: int = MELS, frame: int = FRAME) -> np.ndarray:
@@ -92,24 +111,22 @@ def mel_bank(rate: float, mels: int = MELS, frame: int = FRAME) -> np.ndarray:
 
 
 _WINDOW = np.hanning(FRAME + 1)[:-1].astype(np.float32)
-_PHASES, _BANK = prototype(), mel_bank(RATE * UP / DOWN)
+_BANK = mel_bank(TARGET)
 
 
-def log_mel(samples: bytes) -> np.ndarray:
+def log_mel(samples: bytes, rate: int = RATE) -> np.ndarray:
     """Frames x MELS of the resampled signal; a last partial frame is filled with 0, one frame at least."""
     x = np.frombuffer(samples, np.uint8)
-    total = -(-len(x) * UP // DOWN)
+    up, down = factor(rate)
+    total = -(-len(x) * up // down)
     frames = max(1, -(-max(0, total - FRAME) // HOP) + 1)
     out = np.empty((frames, MELS), np.float32)
     for a in range(0, frames, BLOCK_FRAMES):
         b = min(frames, a + BLOCK_FRAMES)
         start, stop = a * HOP, (b - 1) * HOP + FRAME
-        low, high = max(0, start * DOWN // UP - TAPS), min(len(x), stop * DOWN // UP + TAPS)
         y = np.zeros(stop - start, np.float32)
         if total > start:
-            piece = (x[low:high].astype(np.float32) - 128) / 128
-            shift = low * UP // DOWN  # low is a multiple of DOWN / UP here, so phases keep their places
-            done = resample(piece, _PHASES, DOWN, start - shift, min(stop, total) - shift)
+            done = resample(x, up, down, start, min(stop, total))
             y[: len(done)] = done
         view = np.lib.stride_tricks.sliding_window_view(y, FRAME)[::HOP]
         power = np.abs(np.fft.rfft(view * _WINDOW, axis=1)).astype(np.float32) ** 2
@@ -131,22 +148,24 @@ def segments(mel: np.ndarray, open_at: float = OPEN_AT, close_at: float = CLOSE_
 
 
 def seconds(frame: int, end: bool = False) -> float:
-    return (frame * HOP + (FRAME - HOP) * end) * DOWN / (UP * RATE)
+    return (frame * HOP + (FRAME - HOP) * end) / TARGET
 
 
-def tensor_column(mel: np.ndarray) -> bytes:
-    """Arrow IPC stream: patch fixed_shape_tensor<float16>[PATCH_FRAMES, MELS], start_s, end_s; the last patch is filled up with 0."""
+def patches(mel: np.ndarray) -> list[dict]:
+    """Patches of PATCH_FRAMES x MELS values in a row, with their time spans; the last one is filled up with 0."""
     n = -(-len(mel) // PATCH_FRAMES)
-    filled = np.zeros((n * PATCH_FRAMES, MELS), np.float16)
+    filled = np.zeros((n * PATCH_FRAMES, MELS), np.float32)
     filled[: len(mel)] = mel
-    patch = pa.FixedShapeTensorArray.from_numpy_ndarray(filled.reshape(n, PATCH_FRAMES, MELS))
-    at = np.arange(n) * PATCH_FRAMES
-    spans = [pa.array([seconds(int(k)) for k in at]), pa.array([seconds(min(int(k) + PATCH_FRAMES, len(mel)), True) for k in at])]
-    table = pa.table([patch, *spans], ["patch", "start_s", "end_s"])
-    sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, table.schema) as writer:
-        writer.write_table(table)
-    return sink.getvalue().to_pybytes()
+    spans = ((k * PATCH_FRAMES, min((k + 1) * PATCH_FRAMES, len(mel))) for k in range(n))
+    return [{"start_s": seconds(a), "end_s": seconds(b - 1, True), "values": v} for (a, b), v in zip(spans, filled.reshape(n, -1), strict=True)]
+
+
+def tensors(column: pa.ListArray | pa.ChunkedArray) -> pa.FixedShapeTensorArray:
+    """The values of a patches column as Arrow tensors float32[PATCH_FRAMES, MELS], one for each patch, without a copy of the numbers."""
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    values = pc.struct_field(column.flatten(), "values")
+    size = PATCH_FRAMES * MELS
+    return pa.ExtensionArray.from_storage(pa.fixed_shape_tensor(pa.float32(), (PATCH_FRAMES, MELS)), pa.FixedSizeListArray.from_arrays(values.flatten().cast(pa.float32()), size))
 
 
 def store(docs: DataFrame) -> DataFrame:
@@ -177,7 +196,7 @@ def _small(batch: pa.RecordBatch, column: str, most: int = 4 << 20) -> Iterator[
 
 
 FEATURE_SCHEMA = (
-    "payload_bytes long, payload_sha256 string, tail_crc32 long, frames long, tensor binary, "
+    "payload_bytes long, payload_sha256 string, tail_crc32 long, rate int, frames long, patches array<struct<start_s:double,end_s:double,values:array<float>>>, "
     "segments array<struct<start_s:double,end_s:double>>, mean array<float>"
 )
 
@@ -186,11 +205,13 @@ def audio_features(media: DataFrame, columns: tuple[str, ...] = ("doc_id",)) ->
     """Features of stored WAVE files: the named columns, media, and FEATURE_SCHEMA.
 
     A null file has null features; a file that isn't mono 8-bit WAVE fails the job. Equal files, equal features.
+    Times are seconds of the file, by its own rate.
     """
     kept = media.select(*columns, "media")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("payload_bytes", pa.int64()), ("payload_sha256", pa.string()), ("tail_crc32", pa.int64()), ("frames", pa.int64()), ("tensor", pa.binary()), ("segments", pa.list_(pa.struct([("start_s", pa.float64()), ("end_s", pa.float64())]))), ("mean", pa.list_(pa.float32()))])
+        patch = pa.struct([("start_s", pa.float64()), ("end_s", pa.float64()), ("values", pa.list_(pa.float32()))])
+        schema = pa.schema([("payload_bytes", pa.int64()), ("payload_sha256", pa.string()), ("tail_crc32", pa.int64()), ("rate", pa.int32()), ("frames", pa.int64()), ("patches", pa.list_(patch)), ("segments", pa.list_(pa.struct([("start_s", pa.float64()), ("end_s", pa.float64())]))), ("mean", pa.list_(pa.float32()))])
         for batch in batches:
             for part in _small(batch, "media"):
                 rows = []
@@ -198,10 +219,10 @@ def audio_features(media: DataFrame, columns: tuple[str, ...] = ("doc_id",)) ->
                     if not m.is_valid:
                         rows.append(dict.fromkeys(schema.names))
                         continue
-                    samples, _ = decode(m.as_py())
-                    mel = log_mel(samples)
+                    samples, rate = decode(m.as_py())
+                    mel = log_mel(samples, rate)
                     rows.append({
-                        "payload_bytes": len(samples), "payload_sha256": hashlib.sha256(samples).hexdigest(), "tail_crc32": zlib.crc32(samples[-ALIGN:]), "frames": len(mel), "tensor": tensor_column(mel),
+                        "payload_bytes": len(samples), "payload_sha256": hashlib.sha256(samples).hexdigest(), "tail_crc32": zlib.crc32(samples[-ALIGN:]), "rate": rate, "frames": len(mel), "patches": patches(mel),
                         "segments": [{"start_s": seconds(a), "end_s": seconds(b - 1, True)} for a, b in segments(mel)], "mean": mel.mean(0),
                     })
                 found = pa.RecordBatch.from_pylist(rows, schema)
@@ -213,11 +234,12 @@ def audio_features(media: DataFrame, columns: tuple[str, ...] = ("doc_id",)) ->
 
 
 def op5_media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = audio_features(store(read_table(spark, sf_dir, "documents")), ("doc_id", "n_bytes"))
+    stored = Scratch(spark, "op5").table(store(read_table(spark, sf_dir, "documents")), "media")
+    found = audio_features(stored, ("doc_id", "n_bytes"))
     spoken = F.aggregate("segments", F.lit(0.0), lambda s, x: s + x["end_s"] - x["start_s"])
     feature = F.concat_ws(
         ";", F.concat(F.lit("frames="), "frames"), F.concat(F.lit("segments="), F.size("segments")), F.concat(F.lit("active_s="), F.round(spoken, 3)),
-        F.concat(F.lit("mel="), F.array_join(F.transform("mean", lambda x: F.round(x.cast("double"), 2).cast("string")), ",")), F.concat(F.lit("tensor_bytes="), F.octet_length("tensor")),
+        F.concat(F.lit("mel="), F.array_join(F.transform("mean", lambda x: F.round(x.cast("double"), 2).cast("string")), ",")), F.concat(F.lit("patches="), F.size("patches")),
     )
     return found.select(
         "doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", F.octet_length("media").cast("long").alias("media_bytes"), F.sha2("media", 256).alias("media_sha256"), feature.alias("feature"),

@@ -10,7 +10,7 @@ from gridquill.llm.common import Scratch, read_table
 
 SHARDS = 40
 #: Similarity in hundredths from which documents are near-duplicates here.
-SIMILARITY = 85
+SIMILARITY = 80
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -16,6 +16,7 @@ from ..sources import hadoop
 #: Word characters of every word count and shingle here: all but ASCII white space.
 WORD_PATTERN = "[^\\x20\\x09-\\x0D]+"
 
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 BATCH_SETTING, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 2_000
 
 
@@ -54,7 +55,13 @@ class Scratch:
     def table(self, df: DataFrame, name: str = "t") -> DataFrame:
         self.count += 1
         path = f"{self.root}/{self.count:03d}-{name}"
-        df.write.option("compression", "zstd").parquet(path)
+        # Shuffle files of a step go as soon as its table is written; else they would stay until the driver collects its garbage.
+        before = self.spark.conf.get(FREE_SHUFFLES, None)
+        try:
+            self.spark.conf.set(FREE_SHUFFLES, True)
+            df.write.option("compression", "zstd").parquet(path)
+        finally:
+            self.spark.conf.unset(FREE_SHUFFLES) if before is None else self.spark.conf.set(FREE_SHUFFLES, before)
         kept = self.spark.read.schema(df.schema).parquet(path)
         kept._scratch_path = path
         return kept

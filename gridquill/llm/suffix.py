@@ -13,14 +13,17 @@ about one byte in sixteen starts one. The passes over a corpus are then:
    folder.
 2. Every bundle sends its distinct anchors, 4 bytes each, to the part of the anchor space they fall
    in; the part answers which of them other bundles have too. Other windows are unique.
-3. For repeated anchors, bundles send each distinct context (the bytes that an anchor's windows
-   cover, 80 at most) with the smallest doc_id that has it. A part sorts its contexts by anchor and
-   then digit by digit. Where an anchor has one context everywhere, as inside copies, that context's
-   smallest doc_id holds for all its windows; else the windows of its contexts are sorted, too, by
-   anchor, place and bytes. The part answers with the smallest doc_id by window.
-4. Bundles mark the bytes of windows that a smaller doc_id has.
-
-Hashes only route and preselect: what is removed was found equal byte by byte in the radix passes. An
+3. For repeated anchors, bundles sort their contexts (the bytes that an anchor's windows cover, 80 at
+   most) and send a 128-bit digest of each distinct one with the smallest doc_id that has it. Where an
+   anchor has one context everywhere, as inside copies, the smallest doc_id for all its windows is
+   known at once.
+4. Contexts of the other anchors, at the edges of copies, are sent as bytes. Parts sort them and their
+   windows by anchor, place and then digit by digit, and answer with the smallest doc_id by window.
+5. Bundles mark the bytes of windows that a smaller doc_id has.
+
+Digests are multilinear over 32-bit words with keys drawn anew for each run, four of 32 bits: two different
+contexts agree with probability 2**-128, whatever the texts are, as nobody knows the keys before. Other
+hashes only route and preselect. An
 anchor in more than HOT_BUNDLES bundles sends its windows one by one to parts by their content, so a
 passage that a third of all documents share is spread. A bundle sends one entry for each distinct
 context, however many of its documents hold it.
@@ -28,6 +31,7 @@ context, however many of its documents hold it.
 
 from __future__ import annotations
 
+import secrets
 from collections.abc import Iterator
 
 import numpy as np
@@ -171,7 +175,8 @@ def _digits(data: np.ndarray, start: np.ndarray, length: np.ndarray, width: int)
 class Bundle:
     """The texts of one bundle, their anchors by part, and the contexts of those that are repeated."""
 
-    def __init__(self, ids: bytes, known: bytes, lengths: bytes, text: bytes, runs: bytes, parts: int):
+    def __init__(self, ids: bytes, known: bytes, lengths: bytes, text: bytes, runs: bytes, parts: int, secret: np.ndarray):
+        self.secret = secret
         self.ids, self.known = np.frombuffer(ids, np.int64), np.frombuffer(known, bool)
         self.offsets = np.concatenate([[0], np.cumsum(np.frombuffer(lengths, np.int64))]).astype(np.int64)
         self.data = np.frombuffer(zstandard.decompress(text, max_output_size=max(1, int(self.offsets[-1]))), np.uint8)
@@ -225,13 +230,23 @@ class Bundle:
         self.order = np.argsort(self.part, kind="stable")
         self.part_bounds = np.searchsorted(self.part[self.order], np.arange(self.parts + 1))
 
-    def sent(self) -> Iterator[tuple[int, bytes]]:
-        """(part, its packed contexts): count, sizes, anchor places, labels, smallest ids, bytes."""
+    def digests(self) -> Iterator[tuple[int, bytes]]:
+        """(part, packed digests of its contexts): count, labels, both halves, smallest ids."""
+        high, low = strong_digests(_digits(self.data, self.at[self.unique], self.size[self.unique], CONTEXT), self.secret)
         for part in np.flatnonzero(np.diff(self.part_bounds)):
             own = self.order[self.part_bounds[part] : self.part_bounds[part + 1]]
+            yield int(part), _pack(self.label[own], high[own], low[own], self.smallest[own])
+
+    def asked(self, answers: dict[int, bytes]) -> Iterator[tuple[int, bytes]]:
+        """(part, packed contexts that it asks for): count, places in the part's list, sizes, anchor places, labels, smallest ids, bytes."""
+        for part, raw in answers.items():
+            _, mixed = _opened(raw)
+            if not len(mixed):
+                continue
+            own = self.order[self.part_bounds[part] + mixed.astype(np.int64)]
             start, size = self.at[self.unique[own]], self.size[self.unique[own]]
             flat = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(start, size)
-            yield int(part), _pack(size.astype(np.uint8), self.place[own], self.label[own], self.smallest[own], self.data[flat], head=len(own))
+            yield int(part), _pack(mixed, size.astype(np.uint8), self.place[own], self.label[own], self.smallest[own], self.data[flat], head=len(own))
 
     def marks(self, answers: list[tuple[int, bytes]]) -> np.ndarray:
         """True for every byte that a window with a smaller doc_id covers. answers: (part, runs)."""
@@ -242,7 +257,7 @@ class Bundle:
         edge += np.bincount(self.at[whole], minlength=n + 1) - np.bincount(self.at[whole] + self.size[whole], minlength=n + 1)
         entries, runs = [np.zeros(0, np.int64)], [np.zeros(0, _RUN)]
         for part, raw in answers:
-            found = _opened(raw)
+            found, _ = _opened(raw)
             entries.append(self.order[self.part_bounds[part] + found["entry"].astype(np.int64)])
             runs.append(found)
         entry, run = np.concatenate(entries), np.concatenate(runs)
@@ -276,8 +291,27 @@ def _unpack(blob: bytes, *kinds) -> list[np.ndarray]:
     return [*out, np.frombuffer(raw, np.uint8, -1, at)]
 
 
-def _opened(raw: bytes) -> np.ndarray:
-    return np.frombuffer(zstandard.decompress(raw), _RUN)
+def strong_digests(digits: np.ndarray, secret: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two halves of 128 bits for rows of 8-byte digits. secret: 4 x (1 + 2 * digits) random 64-bit numbers."""
+    words = np.concatenate([digits >> U(32), digits & U(0xFFFFFFFF)], 1)
+    h = [(key[0] + (words * key[1:]).sum(1, dtype=U)) >> U(32) for key in secret]
+    return h[0] << U(32) | h[1], h[2] << U(32) | h[3]
+
+
+def new_secret() -> np.ndarray:
+    digits = -(-CONTEXT // 8) + 1
+    return np.frombuffer(secrets.token_bytes(4 * (1 + 2 * digits) * 8), U).reshape(4, -1)
+
+
+def _answer(runs: np.ndarray, mixed: np.ndarray) -> bytes:
+    return zstandard.compress(np.int64(len(runs)).tobytes() + runs.tobytes() + mixed.astype(np.uint32).tobytes(), 3)
+
+
+def _opened(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(runs, places of contexts that are asked for)."""
+    raw = zstandard.decompress(raw)
+    n = int(np.frombuffer(raw, np.int64, 1)[0])
+    return np.frombuffer(raw, _RUN, n, 8), np.frombuffer(raw, np.uint32, -1, 8 + n * _RUN.itemsize)
 
 
 #: An answer: windows first to last of a context are in a document with this smaller id.
@@ -299,11 +333,36 @@ def settle_anchors(blobs: list[bytes]) -> list[bytes]:
     return [np.packbits(np.concatenate([count[a:b] > 1, count[a:b] > HOT_BUNDLES])).tobytes() for a, b in zip(ends - sizes, ends, strict=True)]
 
 
+def settle_digests(blobs: list[bytes]) -> list[bytes | None]:
+    """For each bundle's digests: runs for contexts of anchors with one context, and which contexts to send as bytes."""
+    parts = [_unpack(b, np.uint32, U, U, np.int64) for b in blobs]
+    counts = np.array([len(p[0]) for p in parts])
+    label, high, low, smallest = (np.concatenate([p[k] for p in parts]) for k in range(4))
+    order = np.lexsort((low, high, label))
+    fresh_label, fresh = np.ones(len(order), bool), np.ones(len(order), bool)
+    fresh_label[1:] = label[order][1:] != label[order][:-1]
+    fresh[1:] = fresh_label[1:] | (high[order][1:] != high[order][:-1]) | (low[order][1:] != low[order][:-1])
+    group, context = np.cumsum(fresh_label) - 1, np.cumsum(fresh) - 1
+    distinct = np.bincount(group[fresh])
+    least = np.minimum.reduceat(smallest[order], np.flatnonzero(fresh))
+    mixed, best = np.empty(len(order), bool), np.empty(len(order), np.int64)
+    mixed[order], best[order] = distinct[group] > 1, least[context]
+    news = ~mixed & (best < smallest)
+    out = []
+    ends = np.cumsum(counts)
+    for a, b in zip(ends - counts, ends, strict=True):
+        told, asked = np.flatnonzero(news[a:b]), np.flatnonzero(mixed[a:b])
+        runs = np.empty(len(told), _RUN)
+        runs["entry"], runs["first"], runs["last"], runs["smallest"] = told, 0, 255, best[a:b][told]
+        out.append(_answer(runs, asked) if len(told) or len(asked) else None)
+    return out
+
+
 def settle_contexts(blobs: list[bytes]) -> list[bytes | None]:
     """For each bundle's contexts the runs of windows for which another bundle or context has a smaller doc_id."""
-    parts = [_unpack(b, np.uint8, np.uint8, np.uint32, np.int64) for b in blobs]
+    parts = [_unpack(b, np.uint32, np.uint8, np.uint8, np.uint32, np.int64) for b in blobs]
     counts = np.array([len(p[0]) for p in parts])
-    size, place, label, smallest, data = (np.concatenate([p[k] for p in parts]) for k in range(5))
+    spot, size, place, label, smallest, data = (np.concatenate([p[k] for p in parts]) for k in range(6))
     del parts
     size = size.astype(np.int64)
     start = np.cumsum(size) - size
@@ -333,8 +392,8 @@ def settle_contexts(blobs: list[bytes]) -> list[bytes | None]:
     for a, b in zip(ends - counts, ends, strict=True):
         lo, hi = np.searchsorted(entry, [a, b])
         told, w = np.empty(hi - lo, _RUN), which[lo:hi]
-        told["entry"], told["first"], told["last"], told["smallest"] = entry[lo:hi] - a, run_first[w], run_last[w], run_low[w]
-        out.append(zstandard.compress(told.tobytes(), 3) if hi > lo else None)
+        told["entry"], told["first"], told["last"], told["smallest"] = spot[entry[lo:hi]], run_first[w], run_last[w], run_low[w]
+        out.append(_answer(told, np.zeros(0, np.uint32)) if hi > lo else None)
     return out
 
 
@@ -401,7 +460,7 @@ def bundles(docs: DataFrame) -> DataFrame:
 
 
 _ROW = pa.schema([("kind", pa.int32()), ("part", pa.int32()), ("bundle", pa.int64()), ("blob", pa.binary())])
-ANCHORS, CONTEXTS = 1, 2
+ANCHORS, DIGESTS, CONTEXTS = 1, 2, 3
 _ROW_DDL = "kind int, part int, bundle long, blob binary"
 RESULT = "doc_id long, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept binary"
 
@@ -418,13 +477,13 @@ def remove_repeats(docs: DataFrame, scratch: Scratch) -> DataFrame:
     """
     packed = scratch.table(bundles(docs), "bundles")
     total = packed.agg(F.coalesce(F.sum("raw_bytes"), F.lit(0))).first()[0]
-    parts = max(16, -(-total // PART_BYTES))
+    parts, secret = max(16, -(-total // PART_BYTES)), new_secret()
 
     def rows_of(found: list[tuple[int, int, int, bytes]]) -> pa.Table:
         return pa.table(list(map(pa.array, zip(*found, strict=True), _ROW.types)) if found else [pa.array([], t) for t in _ROW.types], _ROW.names).cast(_ROW)
 
     def opened(row: dict) -> Bundle:
-        return Bundle(row["ids"], row["known"], row["lengths"], row["text"], row["runs"], parts)
+        return Bundle(row["ids"], row["known"], row["lengths"], row["text"], row["runs"], parts, secret)
 
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -440,17 +499,25 @@ def remove_repeats(docs: DataFrame, scratch: Scratch) -> DataFrame:
         return answer
 
     def by_kind(table: pa.Table) -> dict[int, list[tuple[int, bytes]]]:
-        out: dict[int, list] = {ANCHORS: [], CONTEXTS: []}
+        out: dict[int, list] = {ANCHORS: [], DIGESTS: [], CONTEXTS: []}
         for kind, part, blob in zip(*(table[c].to_pylist() for c in ("kind", "part", "blob")), strict=True):
             out[kind].append((part, blob))
         return out
 
+    def digests(left: pa.Table, right: pa.Table) -> pa.Table:
+        out, known = [], by_kind(right)
+        for row in left.to_pylist():
+            own = opened(row)
+            own.contexts(dict(known[ANCHORS]))
+            out += [(0, p, row["bundle"], blob) for p, blob in own.digests()]
+        return rows_of(out)
+
     def contexts(left: pa.Table, right: pa.Table) -> pa.Table:
         out, known = [], by_kind(right)
         for row in left.to_pylist():
             own = opened(row)
             own.contexts(dict(known[ANCHORS]))
-            out += [(0, p, row["bundle"], blob) for p, blob in own.sent()]
+            out += [(0, p, row["bundle"], blob) for p, blob in own.asked(dict(known[DIGESTS]))]
         return rows_of(out)
 
     result = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("kept", pa.binary())])
@@ -461,7 +528,7 @@ def remove_repeats(docs: DataFrame, scratch: Scratch) -> DataFrame:
         for row in left.to_pylist():
             own = opened(row)
             own.contexts(dict(known[ANCHORS]))
-            gone = own.marks(known[CONTEXTS])
+            gone = own.marks(known[DIGESTS] + known[CONTEXTS])
             n = len(own.ids)
             begins = np.zeros(len(gone) + 1, bool)
             begins[own.offsets] = True
@@ -484,8 +551,9 @@ def remove_repeats(docs: DataFrame, scratch: Scratch) -> DataFrame:
         return packed.groupBy("bundle").cogroup(answers.groupBy("bundle")).applyInArrow(send, ddl)
 
     first = settled(packed.mapInArrow(anchors, _ROW_DDL), settle_anchors, ANCHORS)
-    second = settled(told(contexts, first, _ROW_DDL), settle_contexts, CONTEXTS)
-    return told(removal, first.union(second), RESULT)
+    second = settled(told(digests, first, _ROW_DDL), settle_digests, DIGESTS)
+    third = settled(told(contexts, first.union(second), _ROW_DDL), settle_contexts, CONTEXTS)
+    return told(removal, first.union(second).union(third), RESULT)
 
 
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -180,14 +180,14 @@ def test_settling_in_one_process(monkeypatch):
     shared = "".join(map(chr, rng.integers(97, 105, 200)))
     docs = [(k, shared[int(rng.integers(0, 60)) :][: int(rng.integers(0, 120))] + "".join(map(chr, rng.integers(97, 105, 70)))) for k in range(24)]
     want = plain_removal(docs)
-    made, parts = [], 3
+    made, parts, secret = [], 3, suffix.new_secret()
     for a in range(0, 24, 4):
         own = docs[a : a + 4]
         raw = b"".join(t.encode() for _, t in own)
         lengths = np.array([len(t) for _, t in own], np.int64)
         offsets = np.concatenate([[0], np.cumsum(lengths)])
         plain = np.frombuffer(raw, np.uint8)
-        made.append(suffix.Bundle(np.array([d for d, _ in own]).tobytes(), np.ones(4, bool).tobytes(), lengths.tobytes(), suffix.zstandard.compress(raw), suffix.packed_runs(plain, offsets), parts))
+        made.append(suffix.Bundle(np.array([d for d, _ in own]).tobytes(), np.ones(4, bool).tobytes(), lengths.tobytes(), suffix.zstandard.compress(raw), suffix.packed_runs(plain, offsets), parts, secret))
 
     def settled(send, settle):
         answers = [{} for _ in made]
@@ -202,13 +202,23 @@ def test_settling_in_one_process(monkeypatch):
     for b, known in zip(made, first, strict=True):
         b.contexts(known)
     monkeypatch.setattr(suffix, "WINDOWS_AT_ONCE", 40)
-    second = settled(lambda b, k: b.sent(), suffix.settle_contexts)
+    second = settled(lambda b, k: b.digests(), suffix.settle_digests)
+    third = settled(lambda b, k: b.asked(second[k]), suffix.settle_contexts)
     for k, b in enumerate(made):
-        gone = b.marks([*second[k].items()])
+        gone = b.marks([*second[k].items(), *third[k].items()])
         for d, i, j in zip(b.ids, b.offsets, b.offsets[1:], strict=False):
             assert (j - i, gone[i:j].sum()) == want[int(d)][:2]
 
 
+def test_digests_tell_crafted_contexts_apart():
+    """Contexts that a sum with known multipliers can't tell apart differ under keys of the run; equal ones agree."""
+    a = np.array([[1, 0, 3], [0, 1, 3], [1, 0, 3]], np.uint64)
+    for _ in range(50):
+        keys = suffix.new_secret()[:, :7]
+        high, low = suffix.strong_digests(a, keys)
+        assert high[0] == high[2] and low[0] == low[2] and (high[0], low[0]) != (high[1], low[1])
+
+
 def test_radix_passes_group_equal_rows():
     rng = np.random.default_rng(0)
     rows = rng.integers(0, 3, (500, 4)).astype(np.uint64)

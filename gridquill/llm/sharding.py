@@ -13,13 +13,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import Scratch, hashed_rows, read_table, small
+from .common import Scratch, fits, hashed_rows, read_table, small
 
 #: Rows that one window sorts, on average.
-BUCKET_ROWS = 32_768
+BUCKET_ROWS = 2_048
 #: Ranges of the hash in which rows are counted: the most buckets of a source.
 RANGE_BITS = 16
-#: Phases are multiples of 1 / STEPS. Products of rows, buckets and steps stay below 2**63 up to 1e11 rows.
+#: Phases are multiples of 1 / STEPS. Products of rows, buckets and steps stay below 2**63 up to 3e10 rows.
 STEPS = 16
 #: Numbers that one row of a sequence is spread out from.
 BLOCK = 4_096
@@ -53,9 +53,14 @@ def interleave(docs: DataFrame, shards: int, scratch: Scratch, seed: int = 11, b
         fine.join(small(sources), "skey").groupBy("skey", bucket.alias("bucket")).agg(F.sum("count").alias("rows"))
         .withColumn("before", F.sum("rows").over(W.partitionBy("skey").orderBy("bucket")) - F.col("rows"))
     )
-    # A row finds its bucket by its range: every range that has rows is one row here, so no join key is a whole source.
-    known = fine.join(small(sources), "skey").select("skey", "range", "n", "phase", bucket.alias("bucket")).join(small(offsets.select("skey", "bucket", "before")), ["skey", "bucket"])
-    ordered = slim.withColumn("range", span).join(small(scratch.table(known, "buckets")), ["skey", "range"])
+    ranged = slim.withColumn("range", span)
+    if fits(sources):
+        dealt = ranged.join(F.broadcast(sources.select("skey", "n", "phase", "buckets")), "skey").withColumn("bucket", bucket).drop("range", "buckets")
+        ordered = dealt.join(small(scratch.table(offsets.select("skey", "bucket", "before"), "offsets")), ["skey", "bucket"])
+    else:
+        # Every range that has rows is one row here, so no join key is a whole source.
+        known = fine.join(sources, "skey").select("skey", "range", "n", "phase", bucket.alias("bucket")).join(offsets.select("skey", "bucket", "before"), ["skey", "bucket"])
+        ordered = ranged.join(known, ["skey", "range"])
     rank = (F.row_number().over(W.partitionBy("skey", "bucket").orderBy("h", "doc_id", "text_crc32", "size")) - 1 + F.col("before")).cast("long")
     ranked = ordered.withColumn("r", rank).withColumn("frac", (STEPS * F.col("r") + F.col("phase")) / (STEPS * F.col("n")).cast("double"))
     ranked = ranked.withColumn("cut", _cut(parts))

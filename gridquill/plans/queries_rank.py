@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import assembly, generation, probe, ranking, search
+from ..operators import assembly, generation, headers, markup, probe, ranking, search
 from ..operators.intent import question_intent, years_of
-from ..sources import hadoop
+from ..sources import documents, files, hadoop
+from ..sources.cache import TableCache
 from ..streaming.incremental import read_runs, run_new_files
 from .rendered import read
 
@@ -155,10 +156,51 @@ def incremental_events(spark, sf_dir):
     return read_runs(spark, f"{root}/out").groupBy("event_type").agg(F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("total"))
 
 
+def incremental_extraction(spark, sf_dir):
+    """Tables of a tree with one report for each nation, all of one company for each region, after a second run: reports of
+    every fifth nation were edited in between and those of every seventh removed. read is how many reports the second run read."""
+    root, nations = hadoop.shared_folder(spark, "reports"), [r.asDict() for r in read(spark, sf_dir, "nation").collect()]
+
+    def put(n, note):
+        name = f"R{n['n_regionkey']}_{n['n_name']}_2020_separate"
+        path = f"{root}/fs/R{n['n_regionkey']}/2020/{name}/{name}_extracted.txt"
+        if note is None:
+            hadoop.delete(spark, path)
+        else:
+            hadoop.write_text(spark, path, f"===== PAGE 1 =====\nĐơn vị: VND\n<table><tr><td>{n['n_name']}</td><td>{note}</td></tr></table>\n")
+
+    cache, sizes = TableCache(spark, f"{root}/cache"), []
+
+    def extract(docs):
+        sizes.append(docs.count())
+        return headers.split_header(markup.extract_tables(docs))
+
+    for round_of in (lambda k: "first", lambda k: None if k % 7 == 3 else "second, longer" if k % 5 == 0 else ""):
+        for n in nations:
+            if (note := round_of(n["n_nationkey"])) != "":
+                put(n, note)
+        listed = documents.list_documents(spark, f"{root}/fs")
+        cache.update(listed, extract, f"{root}/fs")
+    cell = F.col("grid")[0]
+    return cache.tables(listed).select("doc_name", "ticker", "year", "scope", "line", "page", "table_ref", cell[0].alias("name"), cell[1].alias("note"), F.lit(sizes[-1]).alias("read"))
+
+
+def appended_predictions(spark, sf_dir):
+    """Predictions for orders in three appends of several files each: of one id's the last append counts."""
+    path, o = hadoop.shared_folder(spark, "predictions"), read(spark, sf_dir, "orders")
+    for n in range(3):
+        rows = o.where(F.col("o_orderkey") % 3 >= n).select(
+            F.col("o_orderkey").cast("int").alias("id"), F.lit("result = 1").alias("pandas_query"), F.lit(float(n)).alias("answer"), F.lit(True).alias("exec_ok"),
+        )
+        files.append_predictions(rows.repartition(4), path)
+    done = files.existing_ids(spark, path).withColumn("known", F.lit(True))
+    return files.read_predictions(spark, path).join(done, "id").select("id", "answer", "exec_ok", "known")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
-        bm25_terms, bm25_topk, intent_parsing, intent_years, tiered_select, last_wins, resume_and_shard, missing_orders, prompt_budget, score_percentiles, hit_rate, relevant_tables, validate_ids, incremental_events,
+        incremental_extraction, appended_predictions, bm25_terms, bm25_topk, intent_parsing, intent_years, tiered_select, last_wins, resume_and_shard, missing_orders, prompt_budget, score_percentiles, hit_rate, relevant_tables, validate_ids, incremental_events,
     )
 }
 
@@ -174,6 +216,10 @@ _HITS = """SELECT qid, row_number() OVER (PARTITION BY qid ORDER BY o_totalprice
     FROM (SELECT *, o_custkey % 50 AS qid, CASE WHEN o_orderkey % 7 <> 0 THEN year(o_orderdate) + 20 END AS y, CASE o_orderkey % 3 WHEN 0 THEN 'separate' WHEN 1 THEN 'consolidated' END AS sc FROM orders)"""
 
 ORACLE_SQL = {
+    "incremental_extraction": """SELECT 'R' || n_regionkey || '_' || n_name || '_2020_separate' AS doc_name, 'R' || n_regionkey AS ticker, 2020::INT AS year, 'separate' AS scope, 3::INT AS line, 1::INT AS page,
+        'R' || n_regionkey || '_' || n_name || '_2020_separate|3' AS table_ref, n_name AS name, CASE WHEN n_nationkey % 5 = 0 THEN 'second, longer' ELSE 'first' END AS note,
+        (SELECT count(*) FROM nation WHERE n_nationkey % 5 = 0 AND n_nationkey % 7 <> 3)::INT AS read FROM nation WHERE n_nationkey % 7 <> 3""",
+    "appended_predictions": "SELECT o_orderkey::INT AS id, (o_orderkey % 3)::DOUBLE AS answer, true AS exec_ok, true AS known FROM orders",
     "bm25_terms": f"SELECT term, count(DISTINCT doc_id) AS df, count(*) AS cf FROM (SELECT doc_id, unnest(t) AS term FROM ({_TOKENS})) GROUP BY term",
     "bm25_topk": f"{_BM25} SELECT item_id, doc_id, round(score, 6) AS score, rank::INT AS rank FROM r",
     "intent_parsing": f"""WITH q AS (SELECT c_custkey, n_nationkey, 'N' || lpad(n_nationkey::VARCHAR, 2, '0') AS code, 'quocgia' || replace(lower({_NAME}), ' ', '') AS own FROM customer JOIN nation ON c_nationkey = n_nationkey),

@@ -20,6 +20,14 @@ def delete(spark: SparkSession, path: str) -> None:
     system.delete(where, True)
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file from the driver."""
+    where, system = _opened(spark, path)
+    out = system.create(where, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
 def numbered(spark: SparkSession, path: str, prefix: str = "run=") -> list[int]:
     """Sorted numbers of the finished folders prefix<number> below path; none if path isn't there."""
     where, system = _opened(spark, path)

@@ -49,7 +49,7 @@ def scope_of_name(doc_name: Column) -> Column:
 
 def decode(content: Column) -> Column:
     """Bytes as UTF-8 text, wrong bytes replaced, every line end a line feed."""
-    return F.regexp_replace(F.decode(content, "UTF-8"), "\\r\\n?", "\n")
+    return F.regexp_replace(F.make_valid_utf8(content.cast("string")), "\\r\\n?", "\n")
 
 
 def _files(spark: SparkSession, root: str, glob: str) -> DataFrame:

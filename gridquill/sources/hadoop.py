@@ -20,11 +20,11 @@ def delete(spark: SparkSession, path: str) -> None:
     system.delete(where, True)
 
 
-def write_text(spark: SparkSession, path: str, text: str) -> None:
+def write_text(spark: SparkSession, path: str, text: str | bytes) -> None:
     """A small file from the driver."""
     where, system = _opened(spark, path)
     out = system.create(where, True)
-    out.write(bytearray(text.encode()))
+    out.write(bytearray(text.encode() if isinstance(text, str) else text))
     out.close()
 
 

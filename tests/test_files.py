@@ -51,7 +51,7 @@ def test_all_steps(spark, tree, capsys, monkeypatch):
     assert (stats["documents"], stats["tables"], stats["indexed"]) == (2, 3, 2)
     again = step("extract", "--statements-dir", f"{t}/fs", "--cache-dir", f"{t}/tables", "--index-path", f"{t}/index", "--company-meta", f"{t}/companies.csv")
     assert again == stats
-    got = step("retrieve", "--questions", f"{t}/q.jsonl", "--index-path", f"{t}/index", "--tables-cache-dir", f"{t}/tables", "--company-meta", f"{t}/companies.csv", "--out", f"{t}/results")
+    got = step("retrieve", "--questions", f"{t}/q.jsonl", "--index-path", f"{t}/index", "--bm25-cache-dir", f"{t}/bm25", "--tables-cache-dir", f"{t}/tables", "--company-meta", f"{t}/companies.csv", "--out", f"{t}/results")
     assert (got["questions"], got["empty"], got["with_ticker"]) == (2, 0, 2)
     rows = {r.id: r for r in files.read_retrieval(spark, f"{t}/results").collect()}
     assert rows[1].tickers == ["AAA"] and rows[1].candidates[0].ticker == "AAA" and rows[2].candidates[0].ticker == "BBB"

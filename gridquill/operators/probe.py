@@ -12,31 +12,36 @@ from .intent import question_intent
 FRACTIONS = {"p10": 0.10, "p25": 0.25, "p75": 0.75, "p90": 0.90}
 #: Pieces that a group's values are cut into: one window holds about so small a share of them.
 PIECES = 64
+#: Different values of a group that the cuts come from, at most on average.
+MARKED = 64 * PIECES
 
 
 def percentiles(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
     """keys, min, p10, p25, median, p75, p90, max of each group. A percentile is the value at index min(n - 1, int(f * n)) of
-    the sorted ones; the median of an even number is the mean of the middle two. Nulls don't count.
+    the sorted ones; the median of an even number is the mean of the middle two. Nulls don't count; a null key is a group.
 
-    Values are counted first, then cut into pieces at approximate percentiles; counts by piece tell which pieces hold the
-    wanted places, and only there values are put in order. So no task holds a group, and the result is exact.
+    Values are counted first, then cut into pieces; counts by piece tell which pieces hold the wanted places, and only there
+    values are put in order. So no task holds a group, and the result is exact. The plan cuts twice, for the counts and for
+    the values, and a lost task cuts again: the cuts are values whose hash says so, which are the same ones each time,
+    while approximate percentiles depend on the order in which rows come in.
     """
-    valued = rows.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v"))
-    counted = valued.groupBy(*keys, "_v").agg(F.count("*").alias("_n"))
-    marks = counted.groupBy(*keys).agg(F.percentile_approx("_v", [k / PIECES for k in range(1, PIECES)], F.lit(10 * PIECES)).alias("_marks"), F.sum("_n").alias("_total"))
-    one = [F.lit(0).alias("_all")] if not keys else []
-    by = keys or ["_all"]
-    cut = counted.select("*", *one).join(marks.select("*", *one), by).withColumn("_piece", F.size(F.filter("_marks", lambda m: m < F.col("_v"))))
-    pieces = cut.groupBy(*by, "_piece").agg(F.sum("_n").alias("_in"))
-    before = pieces.withColumn("_before", F.sum("_in").over(W.partitionBy(*by).orderBy("_piece")) - F.col("_in"))
+    valued = rows.where(F.col(value).isNotNull()).select(F.struct(*(keys or [F.lit(0)])).alias("_key"), F.col(value).alias("_v"))
+    counted = valued.groupBy("_key", "_v").agg(F.count("*").alias("_n"))
+    sized = counted.join(counted.groupBy("_key").agg(F.sum("_n").alias("_total"), F.ceil(F.count("*") / MARKED).alias("_of")), "_key")
+    chosen = sized.where(F.pmod(F.xxhash64("_v"), F.col("_of")) == 0).groupBy("_key").agg(F.array_sort(F.collect_list("_v")).alias("_s"))
+    marks = chosen.select("_key", F.array_distinct(F.transform(F.sequence(F.lit(1), F.lit(PIECES - 1)), lambda k: F.get("_s", F.floor(k * F.size("_s") / PIECES).cast("int")))).alias("_marks"))
+    piece = F.coalesce(F.size(F.filter("_marks", lambda m: m < F.col("_v"))), F.lit(0))
+    cut = sized.join(marks, "_key", "left").select("_key", "_v", "_n", "_total", piece.alias("_piece"))
+    pieces = cut.groupBy("_key", "_piece").agg(F.sum("_n").alias("_in"))
+    before = pieces.withColumn("_before", F.sum("_in").over(W.partitionBy("_key").orderBy("_piece")) - F.col("_in"))
     at = lambda f: F.least(F.col("_total") - 1, F.floor(F.lit(f) * F.col("_total")))
     places = {"min": F.lit(0), "max": F.col("_total") - 1, "_low": F.floor((F.col("_total") - 1) / 2), "_high": F.floor(F.col("_total") / 2), **{n: at(f) for n, f in FRACTIONS.items()}}
     wanted = F.array(*[p.cast("long") for p in places.values()])
-    held = cut.select(*by, "_v", "_n", "_total", "_piece").join(before, [*by, "_piece"]).where(F.exists(wanted, lambda p: (p >= F.col("_before")) & (p < F.col("_before") + F.col("_in"))))
-    upto = held.withColumn("_upto", F.col("_before") + F.sum("_n").over(W.partitionBy(*by, "_piece").orderBy("_v")))
+    held = cut.join(before, ["_key", "_piece"]).where(F.exists(wanted, lambda p: (p >= F.col("_before")) & (p < F.col("_before") + F.col("_in"))))
+    upto = held.withColumn("_upto", F.col("_before") + F.sum("_n").over(W.partitionBy("_key", "_piece").orderBy("_v")))
     here = lambda p: F.max(F.when((p >= F.col("_upto") - F.col("_n")) & (p < F.col("_upto")), F.col("_v")))
-    found = upto.groupBy(*by).agg(*[here(p).alias(n) for n, p in places.items()])
-    return found.select(*keys, "min", *FRACTIONS, ((F.col("_low") + F.col("_high")) / 2).alias("median"), "max")
+    found = upto.groupBy("_key").agg(*[here(p).alias(n) for n, p in places.items()])
+    return found.select(*[F.col("_key")[k].alias(k) for k in keys], "min", "p10", "p25", ((F.col("_low") + F.col("_high")) / 2).alias("median"), "p75", "p90", "max")
 
 
 def hit_rates(results: DataFrame, known: str = "ticker_in_parens", ks: tuple[int, ...] = (1, 3, 5, 10)) -> DataFrame:

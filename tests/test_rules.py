@@ -111,6 +111,22 @@ def test_percentile_rule(spark):
     assert (d.min, d.p10, d.p25, d.median, d.p75, d.p90, d.max) == (1.0, 1.0, 2.0, 2.5, 4.0, 4.0, 4.0)
 
 
+def test_percentiles_of_many_values(spark):
+    rows = spark.range(0, 300_000, 1, 24).select((F.col("id") % 3).alias("k"), (F.pmod(F.xxhash64("id"), F.lit(1_000_003)) / 8).alias("x"))
+    for _ in range(3):
+        got = {r.k: tuple(r)[1:] for r in probe.percentiles(rows.repartition(24), ["k"], "x").collect()}
+        assert got.keys() == {0, 1, 2}
+        for k, in_order in rows.groupBy("k").agg(F.array_sort(F.collect_list("x"))).collect():
+            n = len(in_order)
+            p10, p25, p75, p90 = (in_order[min(n - 1, int(f * n))] for f in (0.1, 0.25, 0.75, 0.9))
+            assert got[k] == (in_order[0], p10, p25, (in_order[(n - 1) // 2] + in_order[n // 2]) / 2, p75, p90, in_order[-1])
+
+
+def test_percentiles_of_a_null_key(spark):
+    rows = spark.createDataFrame([(None, 1.0), (None, 2.0), ("a", 3.0), ("b", None)], "k string, x double")
+    assert {r.k: (r.min, r.median, r.max) for r in probe.percentiles(rows, ["k"], "x").collect()} == {None: (1.0, 1.5, 2.0), "a": (3.0, 3.0, 3.0)}
+
+
 def test_references(spark):
     d = spark.createDataFrame([("a|b|12",)], "r string").select(text.parse_table_ref(F.col("r")).alias("p")).first().p
     assert (d.doc_name, d.line) == ("a|b", 12)

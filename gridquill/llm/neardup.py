@@ -13,9 +13,9 @@ order, and values of one document only make no list. Documents that meet in list
 others, are a candidate cluster. A cluster's texts meet once: retained values give overlaps, the
 sketch of the union estimates the similarity and drops clear misses, and the full sets decide. Pairs
 that links already connect aren't compared, and only links that connect something come out, so a
-group gives fewer rows than it has members. A cluster of more than BLOCK documents is compared in
-pairs of blocks; that keeps every task bounded and loses no link, at a cost that grows with the
-square of that cluster.
+group gives fewer rows than it has members. A cluster of more than BLOCK documents or BLOCK_BYTES of
+text is compared in pairs of blocks; that keeps every task bounded and loses no link, at a cost that
+grows with the square of that cluster.
 
 Documents with equal sets are one node from the start.
 """
@@ -43,6 +43,10 @@ K, WIDTH, PERCENT = 64, 5, 85
 TAIL = 1e-9
 #: Documents of a cluster that one task compares with each other or with as many others.
 BLOCK = 512
+#: And the text of those, on average: a task holds two blocks and about eight times their bytes.
+BLOCK_BYTES = 8 << 20
+#: Holders of values that are looked at together.
+HOLDERS = 1 << 20
 #: Text that a task of small clusters gets, on average.
 JOB_BYTES = 1 << 20
 BROADCAST_NODES = 500_000
@@ -66,16 +70,17 @@ def bounds(percent: int) -> Bounds:
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """doc_id, n (shingles), set_key (128-bit hash of the set), sketch (K smallest hashes, 8 bytes each)."""
+    """doc_id, n (shingles), size (bytes of the text), set_key (128-bit hash of the set), sketch (K smallest hashes, 8 bytes each)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, offsets in text_slices(batches):
             sets = shingle_sets(data, offsets, WIDTH)
             keys = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
             packed = [s[:K].tobytes() for s in sets]
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.binary()), pa.array(packed, pa.binary())], ["doc_id", "n", "set_key", "sketch"])
+            columns = {"doc_id": part.column("doc_id"), "n": pa.array([len(s) for s in sets], pa.int64()), "size": pa.array(np.diff(offsets), pa.int64()), "set_key": pa.array(keys, pa.binary()), "sketch": pa.array(packed, pa.binary())}
+            yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, set_key binary, sketch binary")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, size long, set_key binary, sketch binary")
 
 
 def need(n: np.ndarray, percent: int = PERCENT) -> np.ndarray:
@@ -131,17 +136,27 @@ def links_among(ids: np.ndarray, sets: list[np.ndarray], block: np.ndarray, perc
     flat = np.concatenate(sketch)
     order = np.argsort(flat, kind="stable")
     values, holder = flat[order], np.repeat(np.arange(m), kept)[order]
-    full = np.concatenate(sets)
-    full_order = np.argsort(full, kind="stable")
-    full_values, full_holder = full[full_order], np.repeat(np.arange(m), size)[full_order]
+    full = None
     cross = block.min() != block.max()
     root = np.arange(m)
     out = []
 
-    def holders(keys: np.ndarray, of: np.ndarray, who: np.ndarray) -> np.ndarray:
+    def overlaps(keys: np.ndarray, of: np.ndarray, who: np.ndarray) -> np.ndarray:
         low, high = np.searchsorted(of, keys), np.searchsorted(of, keys, "right")
         count = high - low
-        return who[np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(low, count)]
+        upto = np.cumsum(count)
+        out, a = np.zeros(m, np.int64), 0
+        while a < len(keys):
+            done = upto[a - 1] if a else 0
+            b = max(a + 1, int(np.searchsorted(upto, done + HOLDERS, "right")))
+            n = count[a:b]
+            out += np.bincount(who[np.arange(n.sum()) - np.repeat(upto[a:b] - n - done, n) + np.repeat(low[a:b], n)], minlength=m)
+            a = b
+        return out
+
+    def join(x: int, y: int) -> None:
+        out.append((int(ids[x]), int(ids[y])))
+        root[root == root[x]] = root[y]
 
     for x in range(m):
         able = (root[:x] != root[x]) & (size[:x] * 100 >= size[x] * percent) & (size[x] * 100 >= size[:x] * percent)
@@ -149,7 +164,7 @@ def links_among(ids: np.ndarray, sets: list[np.ndarray], block: np.ndarray, perc
             able &= block[:x] != block[x]
         if not able.any():
             continue
-        overlap = np.bincount(holders(sketch[x], values, holder), minlength=m)[:x]
+        overlap = overlaps(sketch[x], values, holder)[:x]
         likely = np.flatnonzero(able & (overlap >= np.maximum(least[:x], least[x])))
         if not len(likely):
             continue
@@ -164,18 +179,34 @@ def links_among(ids: np.ndarray, sets: list[np.ndarray], block: np.ndarray, perc
         likely = likely[np.where(whole, exact, (both & (rank <= K)).sum(1) >= shared)]
         if not len(likely):
             continue
-        inter = np.bincount(holders(sets[x], full_values, full_holder), minlength=m)[likely]
+        # Copies link with the first of their likely neighbours; the whole index is for those that don't.
+        while len(likely):
+            y = likely[0]
+            place = np.minimum(np.searchsorted(sets[y], sets[x]), size[y] - 1)
+            inter = np.count_nonzero(sets[y][place] == sets[x])
+            if 100 * inter < percent * (size[x] + size[y] - inter):
+                likely = likely[1:]
+                break
+            join(x, y)
+            likely = likely[root[likely] != root[x]]
+        if not len(likely):
+            continue
+        if full is None:
+            values_of_all = np.concatenate(sets)
+            by_value = np.argsort(values_of_all, kind="stable")
+            full = values_of_all[by_value], np.repeat(np.arange(m, dtype=np.int32), size)[by_value]
+            del values_of_all, by_value
+        inter = overlaps(sets[x], *full)[likely]
         for y in likely[100 * inter >= percent * (size[x] + size[likely] - inter)]:
             if root[y] != root[x]:
-                out.append((int(ids[x]), int(ids[y])))
-                root[root == root[x]] = root[y]
+                join(x, y)
     return out
 
 
 def links(texts: DataFrame, found: DataFrame, scratch: Scratch, percent: int = PERCENT) -> DataFrame:
-    """(a, b): links that connect the nodes of each cluster. texts: node, text."""
-    sizes = found.groupBy("comp").agg(F.count("*").alias("members"))
-    placed = found.join(sizes, "comp").withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int"))
+    """(a, b): links that connect the nodes of each cluster. texts: node, text; found: node, comp, size."""
+    blocks = F.greatest(F.ceil(F.count("*") / BLOCK), F.least(F.ceil(F.sum("size") / BLOCK_BYTES), F.count("*"))).cast("int")
+    placed = found.join(found.groupBy("comp").agg(blocks.alias("blocks")), "comp")
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     rows = scratch.table(texts.join(placed, "node").select("node", "comp", "blocks", own.alias("own"), "text"), "texts")
     jobs = max(1, rows.where("blocks = 1").agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0] // JOB_BYTES)
@@ -188,6 +219,7 @@ def links(texts: DataFrame, found: DataFrame, scratch: Scratch, percent: int = P
         sets = []
         for a, b in slices(offsets):
             sets += shingle_sets(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], WIDTH)
+        del data
         node, comp, own = (table[c].to_numpy() for c in ("node", "comp", "own"))
         order = np.lexsort((node, comp))
         out = []
@@ -213,12 +245,12 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, percent: int = PERCENT) -
     """
     workers_see_package(docs.sparkSession)
     own = scratch.table(sketches(docs), "sketches")
-    classes = own.where("n > 0 and doc_id is not null").groupBy("set_key", "n").agg(F.min("doc_id").alias("node"), F.first("sketch").alias("sketch"))
+    classes = own.where("n > 0 and doc_id is not null").groupBy("set_key", "n").agg(F.min("doc_id").alias("node"), F.max("size").alias("size"), F.first("sketch").alias("sketch"))
     nodes = scratch.table(classes, "nodes")
     found = clusters(nodes, scratch, percent)
     few = found.limit(BROADCAST_NODES + 1).count() <= BROADCAST_NODES
     texts = docs.select(F.col("doc_id").alias("node"), "text").join(F.broadcast(found.select("node")) if few else found.select("node"), "node", "left_semi")
-    joined = scratch.table(links(texts, found, scratch, percent), "links")
+    joined = scratch.table(links(texts, found.join(nodes.groupBy("node").agg(F.sum("size").alias("size")), "node"), scratch, percent), "links")
     labels = components(joined, scratch) if joined.limit(1).count() else None
     named_sets = own.select("doc_id", "n", "set_key").join(nodes.select("set_key", "n", "node"), ["set_key", "n"], "left")
     linked = named_sets.join(labels, "node", "left") if labels is not None else named_sets.withColumn("comp", F.lit(None).cast("long"))

@@ -5,6 +5,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from gridquill.llm import components, decontam, neardup, suffix
@@ -99,6 +100,51 @@ def test_groups_across_blocks_lose_no_link(spark, monkeypatch):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want
 
 
+def test_blocks_are_bounded_in_bytes(spark):
+    """24 MB of near copies are few documents, but more than one task gets."""
+    base = [f"w{k:05d}" for k in range(57_000)]
+    docs = spark.createDataFrame([(k, " ".join([*base[: 900 * k], f"own{k}", *base[900 * k :]])) for k in range(60)], "doc_id long, text string")
+    scratch = Scratch(spark, "t")
+    assert {r.component_id for r in neardup.near_duplicates(docs, scratch).collect()} == {0}
+    texts = spark.read.parquet(f"{scratch.root}/*-texts").groupBy("comp", "own").agg(F.sum(F.octet_length("text")).alias("n")).collect()
+    assert sum(r.n for r in texts) > 23_000_000 and max(r.n for r in texts) < 16_000_000, texts
+
+
+def test_comparing_copies_takes_little_memory():
+    import tracemalloc
+
+    rng = np.random.default_rng(6)
+    base = rng.integers(0, 1 << 62, 20_000).astype(np.uint64)
+    sets = [np.unique(np.append(base[rng.random(20_000) > 0.02], rng.integers(0, 1 << 62, 400).astype(np.uint64))) for _ in range(200)]
+    tracemalloc.start()
+    try:
+        found = neardup.links_among(np.arange(200), sets, np.zeros(200, int))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert len(found) == 199 and peak < sum(s.nbytes for s in sets)
+
+
+def test_links_do_not_depend_on_how_many_values_are_looked_at(monkeypatch):
+    """Some sets link and some don't: the first neighbours and the index decide alike."""
+    rng = np.random.default_rng(7)
+    base = rng.integers(0, 1 << 62, 400).astype(np.uint64)
+    sets = [np.unique(np.append(base[rng.random(400) > drop], rng.integers(0, 1 << 62, 20).astype(np.uint64))) for drop in rng.random(80) * 0.12]
+    linked = {(x, y) for x in range(80) for y in range(x) if 100 * len(np.intersect1d(sets[x], sets[y])) >= 85 * len(np.union1d(sets[x], sets[y]))}
+    assert 0 < len(linked) < 80 * 79 / 2
+
+    def groups(pairs):
+        root = list(range(80))
+        for a, b in pairs:
+            root = [root[b] if r == root[a] else r for r in root]
+        return {frozenset(k for k in range(80) if root[k] == r) for r in root}
+
+    for most in (1 << 20, 100, 1):
+        monkeypatch.setattr(neardup, "HOLDERS", most)
+        found = neardup.links_among(np.arange(80), sets, np.zeros(80, int))
+        assert set(found) <= linked and groups(found) == groups(linked)
+
+
 def test_similarity_is_a_parameter(spark):
     """Five pairs with 80 to 85 in 100 in common, small and large, are linked at 80 and not at 85."""
     rows = []
